@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import cleaning, normalizing
+from . import catalog, cleaning, mining, normalizing
 
-MODULES = [cleaning, normalizing]
+MODULES = [cleaning, normalizing, catalog, mining]
 
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}
