@@ -19,12 +19,15 @@ def range_buckets(df: DataFrame, column: str, rows_per_bucket: int = 200_000, na
     rows = df.count()
     wanted = max(1, min(_MAX_BUCKETS, -(-rows // rows_per_bucket)))
     cuts: list[float] = []
+    df = df.withColumn("_at", F.col(column).cast("double"))
     if wanted > 1:
         probs = [i / wanted for i in range(1, wanted)]
-        cuts = sorted(set(df.approxQuantile(column, probs, 0.25 / wanted)))
+        cuts = sorted(set(df.approxQuantile("_at", probs, 0.25 / wanted)))
+    if not cuts:
+        return df.drop("_at").withColumn(name, F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df)
-    return bucketed.withColumn(name, F.col(name).cast("int"))
+    bucketed = Bucketizer(splits=splits, inputCol="_at", outputCol=name).transform(df)
+    return bucketed.withColumn(name, F.col(name).cast("int")).drop("_at")
 
 
 def running_totals(df: DataFrame, order: str, sums: list[str], rows_per_bucket: int = 200_000) -> DataFrame:
