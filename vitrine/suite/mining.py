@@ -108,10 +108,10 @@ ORACLES["filter_rules_confidence"] = _sql(
     f"SELECT antecedents, consequents, {_r('confidence')}, {_r('lift')} FROM measured WHERE confidence >= 0.2"
 )
 QUERIES["filter_rules_lift"] = lambda spark, sf: data.rounded(
-    _texts(rules.filter_rules(_rules(spark, sf), "lift", 1.0, 100)).select("antecedents", "consequents", "confidence", "lift"), ["confidence", "lift"]
+    _texts(rules.filter_rules(_rules(spark, sf), "lift", 0.95, 100)).select("antecedents", "consequents", "confidence", "lift"), ["confidence", "lift"]
 )
 ORACLES["filter_rules_lift"] = _sql(
-    f"""SELECT antecedents, consequents, {_r('confidence')}, {_r('lift')} FROM (SELECT * FROM measured WHERE round(lift, 12) >= 1
+    f"""SELECT antecedents, consequents, {_r('confidence')}, {_r('lift')} FROM (SELECT * FROM measured WHERE round(lift, 12) >= 0.95
 ORDER BY lift DESC, confidence DESC, antecedents, consequents LIMIT 100)"""
 )
 
