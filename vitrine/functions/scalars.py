@@ -46,6 +46,11 @@ def scalar_row(one_row: DataFrame) -> Column:
     return one_row.select(F.struct("*").alias("row")).scalar()
 
 
+def with_scalars(df: DataFrame, **one_rows: DataFrame) -> DataFrame:
+    """Add one-row DataFrames as struct columns; refer to a field as ``F.col("name.field")``."""
+    return df.withColumns({name: scalar_row(row) for name, row in one_rows.items()})
+
+
 def have(df: DataFrame, names: list[str]) -> list[str]:
     """The given columns that exist in ``df``, in the given order."""
     return [n for n in names if n in df.columns]

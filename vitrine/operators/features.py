@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import exact_quantiles, quantile_row, quantile_scalar
-from ..functions.scalars import clip, have, scalar_row
+from ..functions.scalars import clip, have, with_scalars
 from ..stages import stage
 
 FEATURES = [
@@ -180,11 +180,13 @@ def add_features(df: DataFrame, variant: str = "max") -> DataFrame:
         peaks["tags"] = F.max(F.least(tags, F.lit(tag_cap)))
     if not robust:
         peaks.update({name: F.max(c) for name, c in scaled.items()})
-    peak = scalar_row(df.agg(*[c.cast("double").alias(name) for name, c in peaks.items()]))
-    top = scalar_row(quantile_row(df, scaled, 0.95)) if robust else peak
+    scalars = {"_peak": df.agg(*[c.cast("double").alias(name) for name, c in peaks.items()])}
+    if robust:
+        scalars["_top"] = quantile_row(df, scaled, 0.95)
+    peak, top = F.col("_peak"), F.col("_top" if robust else "_peak")
 
     price, rating = F.col("price"), F.col("rating")
-    out = _add_key_statistics(df)
+    out = with_scalars(_add_key_statistics(df), **scalars)
 
     price_share = clip(price / top["price"], 0.0, 1.0) if robust else price / top["price"]
     first = {
@@ -242,15 +244,14 @@ def add_ops_features(df: DataFrame) -> DataFrame:
             "is_popular": (F.col("review_count") >= quantile_scalar(df, "review_count", 0.5)).cast("int"),
         }
     ).withColumn("is_success", F.col("is_popular").bitwiseAND(F.col("is_high_rated")))
-    moments = scalar_row(
-        out.agg(*[f(c).alias(f"{p}_{c}") for c in OPS_SCALED for p, f in (("avg", F.avg), ("sd", F.stddev_pop))])
-    )
-    return out.withColumns(
+    moments = F.col("_moments")
+    stats = out.agg(*[f(c).alias(f"{p}_{c}") for c in OPS_SCALED for p, f in (("avg", F.avg), ("sd", F.stddev_pop))])
+    return with_scalars(out, _moments=stats).withColumns(
         {
             f"{c}_normalized": F.when(moments[f"sd_{c}"] > 0, (F.col(c) - moments[f"avg_{c}"]) / moments[f"sd_{c}"]).otherwise(0.0)
             for c in OPS_SCALED
         }
-    )
+    ).drop("_moments")
 
 
 def add_minimal_features(df: DataFrame) -> DataFrame:

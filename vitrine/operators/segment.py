@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import clip, have, scalar_row
+from ..functions.scalars import clip, have, scalar_row, with_scalars
 
 CLUSTER_FEATURES = ["log_price", "rating_score", "popularity_score", "discount_score"]
 PROFILE_FEATURES = ["log_price", "rating_score", "popularity_score", "stock_score", "discount_score"]
@@ -24,6 +26,7 @@ NAMES = {
 }
 BASE_RANK = {"Premium": 0.92, "Populaire": 0.82, "Budget": 0.62, "Inactif": 0.25}
 OTHER_RANK = 0.5
+_RUNS_IN_FLIGHT = 4
 TOP_NAMES = ["Premium", "Populaire"]
 UNNAMED = "Inconnu"
 
@@ -55,10 +58,10 @@ def zscore(df: DataFrame, columns: Sequence[str], scaler: dict[str, tuple[float,
     Without a fitted scaler the moments are a scalar subquery of the same plan.
     """
     if scaler is None:
-        m = scalar_row(
-            df.agg(*[f(number_or_zero(c)).alias(f"{p}_{c}") for c in columns for p, f in (("avg", F.avg), ("sd", F.stddev_pop))])
-        )
-        return df.withColumns({f"z_{c}": _scaled(number_or_zero(c), m[f"avg_{c}"], m[f"sd_{c}"]) for c in columns})
+        moments = df.agg(*[f(number_or_zero(c)).alias(f"{p}_{c}") for c in columns for p, f in (("avg", F.avg), ("sd", F.stddev_pop))])
+        m = F.col("_moments")
+        scaled = {f"z_{c}": _scaled(number_or_zero(c), m[f"avg_{c}"], m[f"sd_{c}"]) for c in columns}
+        return with_scalars(df, _moments=moments).withColumns(scaled).drop("_moments")
     return df.withColumns({f"z_{c}": _scaled(number_or_zero(c), *scaler[c]) for c in columns})
 
 
@@ -73,18 +76,19 @@ def fit_kmeans(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, n_
     """Centres of the best of ``n_init`` runs, in a canonical order.
 
     Equal feature rows are merged into one weighted row first, which keeps the result and
-    shrinks every pass. The training table is persisted for the passes and released after.
+    shrinks every pass. The runs only differ by seed and share the persisted table; a few of
+    them are in flight at once so that the tail of one run's jobs does not leave cores idle.
     """
     merged = df.groupBy(*[number_or_zero(c).alias(c) for c in columns]).agg(F.count("*").cast("double").alias("weight"))
     train = merged.select(array_to_vector(F.array(*[F.col(c) for c in columns])).alias("features"), "weight").persist()
+
+    def attempt(number: int) -> tuple[float, list[list[float]]]:
+        model = KMeans(k=k, seed=seed + number, weightCol="weight", maxIter=100, tol=1e-4).fit(train)
+        return model.summary.trainingCost, sorted([float(x) for x in centre] for centre in model.clusterCenters())
+
     try:
-        best = None
-        for attempt in range(n_init):
-            model = KMeans(k=k, seed=seed + attempt, weightCol="weight", maxIter=100, tol=1e-4).fit(train)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model.clusterCenters())
-        return sorted([float(x) for x in centre] for centre in best[1])
+        with ThreadPool(min(n_init, _RUNS_IN_FLIGHT)) as pool:
+            return min(pool.map(inheritable_thread_target(df.sparkSession)(attempt), range(n_init)))[1]
     finally:
         train.unpersist()
 
