@@ -54,3 +54,8 @@ def with_scalars(df: DataFrame, **one_rows: DataFrame) -> DataFrame:
 def have(df: DataFrame, names: list[str]) -> list[str]:
     """The given columns that exist in ``df``, in the given order."""
     return [n for n in names if n in df.columns]
+
+
+def ordered(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """Sort by the given keys; without any, the table as it is."""
+    return df.orderBy(*keys) if keys else df

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import have, np_round
+from ..functions.scalars import have, np_round, ordered
 from ..operators.segment import number_or_zero
 
 
@@ -178,7 +178,7 @@ def anomaly_table(df: DataFrame) -> DataFrame:
     )
     out = df.withColumn("detector_model", detector(df)).filter(suspect)
     order = [F.desc_nulls_last("price_anomaly_score")] if "price_anomaly_score" in df.columns else []
-    return out.orderBy(*order, *have(df, ["id"])).select(*shown, "detector_model")
+    return ordered(out, *order, *have(df, ["id"])).select(*shown, "detector_model")
 
 
 def anomaly_rate(df: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import have, np_round
+from ..functions.scalars import have, np_round, ordered
 from . import arguments as args
 
 FLOATING = ("float", "double")
@@ -33,7 +33,8 @@ def _round_floats(df: DataFrame, digits: int) -> DataFrame:
 
 def _best_first(df: DataFrame, column: str = "composite_score") -> DataFrame:
     ties = have(df, ["id"])
-    return df.orderBy(F.desc_nulls_last(column), *ties) if column in df.columns else df.orderBy(*ties)
+    best = [F.desc_nulls_last(column)] if column in df.columns else []
+    return ordered(df, *best, *ties)
 
 
 def _same_category(category: str) -> Column:
@@ -41,7 +42,7 @@ def _same_category(category: str) -> Column:
 
 
 def _in_file_order(df: DataFrame) -> DataFrame:
-    return df.orderBy(*have(df, ["ingest_seq", "scraped_at", "id"]))
+    return ordered(df, *have(df, ["ingest_seq", "scraped_at", "id"]))
 
 
 def top_products(catalog: DataFrame, a: args.TopProducts = args.TopProducts()) -> DataFrame:
