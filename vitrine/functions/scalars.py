@@ -32,7 +32,7 @@ def is_blank(text: Column) -> Column:
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN is the reference's missing value; Spark's aggregates only skip NULL."""
+    """NaN stands for a missing value in floating-point sources; Spark's aggregates only skip NULL."""
     floats = [name for name, kind in df.dtypes if kind in ("double", "float")]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
 

@@ -1,7 +1,7 @@
 """Inputs of the registered queries, derived by Spark from the given tables.
 
 The silver, feature and published tables are stage tables shared by the queries of a session,
-as the reference's queries share the files its batch run publishes.
+as catalog queries share the files a batch run publishes.
 """
 
 from __future__ import annotations
