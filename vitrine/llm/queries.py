@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_names
+from . import block_names, quality_rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,11 +16,18 @@ def op3_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES = {
     "op3_block_naming": op3_block_naming,
+    "op7_weak_rules": op7_weak_rules,
 }
 
 ORACLES = {
+    "op7_weak_rules": quality_rules.oracle(),
     "op3_block_naming": r"""
         WITH d AS (
             SELECT doc_id, coalesce(length(text), 0) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
