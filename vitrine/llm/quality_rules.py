@@ -41,15 +41,18 @@ class Rule:
     keep: str
 
 
-# Whole-number comparisons, so that every engine decides alike.
+# Whole-number comparisons, so that every engine decides alike. The first three look at one kind
+# of noise, the next three at what any noise does to the text, so that every kind of bad document
+# is seen by more than one rule: agreement is what the accuracies are estimated from.
+_NOISE = "n_symbols + n_shouts + n_stutters"
 RULES = [
-    Rule("length", "n_words < 5", "n_words >= 20"),
-    Rule("symbols", "10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
-    Rule("shouting", "10 * n_shouts > n_words", "50 * n_shouts <= n_words"),
-    Rule("stutter", "20 * n_stutters > n_words", "100 * n_stutters <= n_words"),
-    Rule("repeats", "100 * n_repeat_words > 20 * n_words", "100 * n_repeat_words <= 5 * n_words"),
-    Rule("lines", "2 * n_dup_lines > n_lines", "n_dup_lines = 0"),
-    Rule("word_size", "word_chars > 15 * n_words OR word_chars < 2 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
+    Rule("symbols", "5 * n_symbols > n_words", "50 * n_symbols <= n_words"),
+    Rule("shouting", "5 * n_shouts > n_words", "50 * n_shouts <= n_words"),
+    Rule("stutter", "10 * n_stutters > n_words", "50 * n_stutters <= n_words"),
+    Rule("noise", f"5 * ({_NOISE}) > n_words", f"20 * ({_NOISE}) <= n_words"),
+    Rule("density", f"40 * ({_NOISE}) > word_chars", f"100 * ({_NOISE}) <= word_chars"),
+    Rule("repeats", "100 * n_repeat_words > 25 * n_words", "100 * n_repeat_words <= 10 * n_words"),
+    Rule("word_size", "word_chars > 15 * n_words OR word_chars < 2 * n_words", "word_chars BETWEEN 3 * n_words AND 12 * n_words"),
 ]
 
 
@@ -106,20 +109,27 @@ def vote(rule: Rule) -> Column:
 
 
 def _posterior(names: list[str], share: float, good: list[list[float]], bad: list[list[float]]) -> Column:
-    """Probability of "good" given the votes, from the class share and P(vote | class)."""
+    """Probability of "good" given the votes, from the class share and P(vote | class).
+
+    An abstention says nothing about the class.
+    """
     odds = F.lit(math.log(share) - math.log(1 - share))
     for name, g, b in zip(names, good, bad, strict=True):
         ratio = [math.log(x) - math.log(y) for x, y in zip(g, b, strict=True)]
-        odds = odds + F.when(F.col(name) == 0, ratio[0]).when(F.col(name) == 1, ratio[1]).otherwise(ratio[2])
+        odds = odds + F.when(F.col(name) == 0, ratio[0]).when(F.col(name) == 1, ratio[1]).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
+def _shares(rejects: float, keeps: float) -> list[float]:
+    return [(rejects + 1) / (rejects + keeps + 2), (keeps + 1) / (rejects + keeps + 2)]
+
+
 def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Column:
     """The posterior as an expression over the vote columns.
 
     ``patterns`` has the votes and ``n``, the number of documents with them. The first round
     trusts every reject vote (0.05 against 0.95), the later ones what the data say; one document
-    is added to every count, so no probability is 0.
+    is added to every count of votes, so no probability is 0.
     """
     any_reject = F.lit(False)
     for name in names:
@@ -129,20 +139,20 @@ def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Column:
         scored = patterns.withColumn("p", posterior)
         sums = [F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")]
         for name in names:
-            for v in range(3):
+            for v in range(2):
                 hit = (F.col(name) == v).cast("int")
                 sums += [F.sum(F.col("n") * F.col("p") * hit).alias(f"g_{name}_{v}"), F.sum(F.col("n") * (1 - F.col("p")) * hit).alias(f"b_{name}_{v}")]
         row = scored.agg(*sums).first()
         if row["good"] is None:  # no documents
             return posterior
-        good = [[(row[f"g_{name}_{v}"] + 1) / (row["good"] + 3) for v in range(3)] for name in names]
-        bad = [[(row[f"b_{name}_{v}"] + 1) / (row["bad"] + 3) for v in range(3)] for name in names]
+        good = [_shares(row[f"g_{name}_0"], row[f"g_{name}_1"]) for name in names]
+        bad = [_shares(row[f"b_{name}_0"], row[f"b_{name}_1"]) for name in names]
         posterior = _posterior(names, (row["good"] + 1) / (row["good"] + row["bad"] + 2), good, bad)
     return posterior
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: list[Rule] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """One row per input row: id, text_hash, the measures, base_failed, quality (the posterior), kept."""
+    """One row per input row: id, text_hash, the measures, base_failed, posterior, kept."""
     rules = RULES if rules is None else rules
     names = [f"vote_{r.name}" for r in rules]
     measures = stage(measure(docs, id_col, text_col), "measures")
@@ -150,8 +160,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     patterns = stage(voted.groupBy(*names).agg(F.count("*").alias("n")), "patterns")
     quality = fit(patterns, names, rounds)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    judged = voted.withColumns({"base_failed": failed, "quality": quality})
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= THRESHOLD)).withColumnRenamed("id", id_col)
+    judged = voted.withColumns({"base_failed": failed, "posterior": quality})
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= THRESHOLD)).withColumnRenamed("id", id_col)
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -190,9 +200,9 @@ def oracle(source: str = "documents", rounds: int = ROUNDS) -> str:
         sums = ["sum(n * p) AS good", "sum(n * (1 - p)) AS bad"]
         odds = ["ln((good + 1) / (bad + 1))"]
         for name in names:
-            for v in range(3):
+            for v in range(2):
                 sums += [f"sum(n * p * ({name} = {v})::INT) AS g_{name}_{v}", f"sum(n * (1 - p) * ({name} = {v})::INT) AS b_{name}_{v}"]
-            odds.append(f"CASE {name} " + " ".join(f"WHEN {v} THEN ln((g_{name}_{v} + 1) / (good + 3)) - ln((b_{name}_{v} + 1) / (bad + 3))" for v in range(3)) + " END")
+            odds.append(f"CASE {name} " + " ".join(f"WHEN {v} THEN ln((g_{name}_{v} + 1) / (g_{name}_0 + g_{name}_1 + 2)) - ln((b_{name}_{v} + 1) / (b_{name}_0 + b_{name}_1 + 2))" for v in range(2)) + " ELSE 0 END")
         steps.append(f"s{k} AS MATERIALIZED (SELECT {', '.join(sums)} FROM e{k - 1})")
         steps.append(f"e{k} AS MATERIALIZED (SELECT {', '.join(names)}, n, 1 / (1 + exp(-({' + '.join(odds)}))) AS p FROM e{k - 1}, s{k})")
     failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words)"
