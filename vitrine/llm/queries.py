@@ -3,30 +3,44 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import block_names, quality_rules
+from . import block_names, mixing, quality_rules, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = url_templates.filter_urls(table(spark, sf_dir, "pages"), url_templates.RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = block_names.exact_dedup(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 6))
+
+
 def op7_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.judge(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 QUERIES = {
+    "op2_path_templates": op2_path_templates,
     "op3_block_naming": op3_block_naming,
+    "op5_raking": op5_raking,
     "op7_weak_rules": op7_weak_rules,
 }
 
 ORACLES = {
+    "op2_path_templates": url_templates.oracle(),
+    "op5_raking": mixing.oracle(),
     "op7_weak_rules": quality_rules.oracle(),
     "op3_block_naming": r"""
         WITH d AS (
