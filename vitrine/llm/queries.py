@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, mixing, quality_rules, url_templates
+from . import block_names, mixing, quality_rules, simhash, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,11 +31,17 @@ def op7_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.components(table(spark, sf_dir, "documents"), words=4, lanes=1, threshold=4)
+    return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op2_path_templates": op2_path_templates,
     "op3_block_naming": op3_block_naming,
     "op5_raking": op5_raking,
     "op7_weak_rules": op7_weak_rules,
+    "op8_anchor_simhash": op8_anchor_simhash,
 }
 
 ORACLES = {
