@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, mixing, quality_rules, simhash, url_templates
+from . import block_names, mixing, prefix_bpe, quality_rules, simhash, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,17 @@ def op3_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def byte_vocabulary() -> tuple[str, str]:
+    """Path and pattern of the byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op4_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.digest(table(spark, sf_dir, "documents"), *byte_vocabulary())
+
+
 def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 6))
 
@@ -39,6 +50,7 @@ def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_path_templates": op2_path_templates,
     "op3_block_naming": op3_block_naming,
+    "op4_prefix_bpe": op4_prefix_bpe,
     "op5_raking": op5_raking,
     "op7_weak_rules": op7_weak_rules,
     "op8_anchor_simhash": op8_anchor_simhash,
