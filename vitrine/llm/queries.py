@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, mixing, prefix_bpe, quality_rules, simhash, url_templates
+from . import block_names, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_interval_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = url_templates.filter_urls(table(spark, sf_dir, "pages"), url_templates.RULES)
     return rows.select("page_id", "host", "path", "rule", "verdict")
@@ -48,6 +52,7 @@ def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_interval_tree": op1_interval_tree,
     "op2_path_templates": op2_path_templates,
     "op3_block_naming": op3_block_naming,
     "op4_prefix_bpe": op4_prefix_bpe,
