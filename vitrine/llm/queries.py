@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, url_templates
+from . import block_names, compression_quality, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, toxicity, url_templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,16 @@ def op5_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("weight", F.round("weight", 6))
 
 
+def op6_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return compression_quality.score(docs, compression_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.judge(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -57,8 +67,10 @@ QUERIES = {
     "op3_block_naming": op3_block_naming,
     "op4_prefix_bpe": op4_prefix_bpe,
     "op5_raking": op5_raking,
+    "op6_positive_unlabelled": op6_positive_unlabelled,
     "op7_weak_rules": op7_weak_rules,
     "op8_anchor_simhash": op8_anchor_simhash,
+    "op9_compression": op9_compression,
 }
 
 ORACLES = {
