@@ -36,7 +36,9 @@ from .labels import fold, sample
 POSITIVES, UNLABELLED = 4000, 12000
 WORDS = 20_000
 MIN_DOCS, MIN_Z = 3, 5.0
-STEPS, RATE, RIDGE = 250, 0.1, 1e-4
+#: Words that bound the class prior.
+PRIOR_WORDS = 9
+STEPS, RATE, RIDGE = 400, 0.1, 1e-6
 
 #: A-Z lower-cased and every other ASCII character but letters and digits made a space.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -79,6 +81,11 @@ def fit_nonnegative(rows: np.ndarray, columns: np.ndarray, positive: np.ndarray,
     return weights, bias
 
 
+def prior_bound(ratios: list[float], otherwise: float) -> float:
+    """The median of the bounds that the most telling words give."""
+    return max(float(np.median(ratios)), 0.001) if ratios else otherwise
+
+
 class Model:
     def __init__(self, weights: dict[bytes, float], bias: float):
         self.weights, self.bias = weights, bias
@@ -99,10 +106,13 @@ def fit(
     unlabelled: int = UNLABELLED,
 ) -> Model:
     """A model from the learning folds. ``prior`` is the share of toxic texts among the unlabelled;
-    where it is not given, it is the share of confirmed ones among labelled rows of these folds."""
+    where it is not given, it is the share of confirmed ones among labelled rows of these folds, or
+    less where words show it: the unlabelled contain a word at least as often as the toxic texts
+    among them do, so the ratio of both frequencies bounds the prior from above."""
     ship_package(docs.sparkSession)
     texts = docs.filter(fold(id_col) != 0).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     known = labels.filter(fold(id_col) != 0).select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter("label IS NOT NULL")
+    bounded = prior is None
     if prior is None:
         share = known.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0]
         prior = min(max(share or 0.0, 0.01), 0.5)
@@ -121,7 +131,10 @@ def fit(
     gap = F.abs(F.col("p") / sizes[1] - (F.col("n") - F.col("p")) / sizes[0])
     share = (F.col("n") + 1) / (sizes[1] + sizes[0] + 1)
     counts = counts.withColumn("z", gap / F.sqrt(share * (1 - share) * (1 / sizes[1] + 1 / sizes[0]))).filter(F.col("z") >= MIN_Z)
-    words = [bytes(r["word"]) for r in counts.orderBy(F.desc("z"), "word").limit(WORDS).select("word").collect()]
+    found = counts.orderBy(F.desc("z"), "word").limit(WORDS).collect()
+    words = [bytes(r["word"]) for r in found]
+    if bounded:
+        prior = min(prior, prior_bound([(r["n"] - r["p"]) / sizes[0] / (r["p"] / sizes[1]) for r in found if r["p"] > 0][:PRIOR_WORDS], prior))
     index = {w: i for i, w in enumerate(words)}
 
     def to_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
