@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, compression_quality, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, toxicity, url_templates
+from . import block_names, compression_quality, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, toxicity, url_templates, warc_zstd
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op8_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_interval_tree": op1_interval_tree,
     "op2_path_templates": op2_path_templates,
@@ -71,9 +75,18 @@ QUERIES = {
     "op7_weak_rules": op7_weak_rules,
     "op8_anchor_simhash": op8_anchor_simhash,
     "op9_compression": op9_compression,
+    "op10_zstd_warc": op10_zstd_warc,
 }
 
 ORACLES = {
+    "op10_zstd_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t, strlen(coalesce(html, '')) AS n FROM pages),
+        g AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY t) ELSE page_id END AS chief FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(t) AS payload_digest,
+               CASE WHEN chief IS NOT DISTINCT FROM page_id OR chief IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN chief IS DISTINCT FROM page_id THEN chief END AS refers_to
+        FROM g
+    """,
     "op2_path_templates": url_templates.oracle(),
     "op5_raking": mixing.oracle(),
     "op7_weak_rules": quality_rules.oracle(),
