@@ -195,21 +195,22 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col and ids (array of int) of every row's whole text."""
+def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
+    """The columns ``keep``, n_tokens and ids (array of int) of every row's whole text."""
     ship_package(docs.sparkSession)
-    source = docs.select(F.col(id_col), text_or_empty(text_col).alias("text"))
+    keep = ["doc_id"] if keep is None else keep
+    source = docs.select(*keep, text_or_empty(text_col).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
         for batch in batches:
-            packed = [coder.encode(t) for t in batch.column(1).to_pylist()]
-            offsets = np.cumsum([0, *[len(p) // 4 for p in packed]])
+            packed = [coder.encode(t) for t in batch.column("_text").to_pylist()]
+            counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
             values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=[id_col, "ids"])
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(counts), ids], names=[*keep, "n_tokens", "ids"])
 
-    return source.mapInArrow(run, source.select(id_col, F.array().cast("array<int>").alias("ids")).schema)
+    return source.mapInArrow(run, source.select(*keep, F.lit(0).cast("long").alias("n_tokens"), F.array().cast("array<int>").alias("ids")).schema)
 
 
 def digest(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
