@@ -111,7 +111,7 @@ def sample(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets:
     renamed = weights.select(*[F.col(m).alias(f"_c_{m}") for m in MARGINS], F.col("weight").alias("_c_weight"))
     marked = docs.withColumns({f"_d_{m}": c for m, c in zip(MARGINS, marks[:3], strict=True)})
     joined = marked.join(renamed, same(marked, renamed, [(f"_d_{m}", f"_c_{m}") for m in MARGINS]))
-    return joined.filter(uniform(F.col(id_col)) < share * F.col("_c_weight")).select(*docs.columns)
+    return joined.filter(share * F.col("_c_weight") + uniform(F.col(id_col)) >= 1).select(*docs.columns)
 
 
 def oracle_steps(source: str = "documents", rounds: int = ROUNDS, temperature: float = TEMPERATURE) -> list[str]:

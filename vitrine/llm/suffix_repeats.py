@@ -155,21 +155,21 @@ def _mark(context: bytes, left: int) -> tuple[int, int]:
 
 
 def _marked(texts: DataFrame, min_bytes: int) -> DataFrame:
-    """(gram, m1, m2, k1, k2, at): every candidate anchor with the digest of its context."""
+    """(gram, m1, m2, k1, k2, at, times): every candidate anchor with the digest of its context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for k1, k2, text, found in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "found")], strict=True):
+            for k1, k2, text, found, times in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "found", "times")], strict=True):
                 for f in found:
                     place, low, high = _unpack(f["at"])
                     m1, m2 = _mark(text[low : high + min_bytes], place - low)
-                    out.append((f["gram"], m1, m2, k1, k2, f["at"]))
+                    out.append((f["gram"], m1, m2, k1, k2, f["at"], times))
             if out:
                 table = np.array(out, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T.copy()], names=["gram", "m1", "m2", "k1", "k2", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T.copy()], names=["gram", "m1", "m2", "k1", "k2", "at", "times"])
 
-    return texts.mapInArrow(run, "gram long, m1 long, m2 long, k1 long, k2 long, at long")
+    return texts.mapInArrow(run, "gram long, m1 long, m2 long, k1 long, k2 long, at long, times long")
 
 
 def _contexts(texts: DataFrame, min_bytes: int) -> DataFrame:
@@ -367,23 +367,26 @@ class RepeatIndex:
         anchors = stage(_anchors(texts, min_bytes), "anchors")
         repeated = anchors.groupBy("gram").count().filter("count > 1").select("gram")
         candidates = anchors.join(repeated, "gram", "left_semi")
-        candidates = candidates.groupBy("k1", "k2").agg(F.collect_list(F.struct("gram", "at")).alias("found"))
-        self.texts = self._bucketed(texts.join(candidates, ["k1", "k2"]))
+        # Rows with the same id and text become one text that counts as often as there are rows.
+        found = F.collect_set(F.struct("gram", "at"))
+        candidates = candidates.groupBy("k1", "k2").agg(found.alias("found"), F.count("*").alias("anchors"))
+        candidates = candidates.select("k1", "k2", "found", (F.col("anchors") / F.size("found")).cast("long").alias("times"))
+        self.texts = self._bucketed(texts, candidates)
         self.marked = stage(_marked(self.texts, min_bytes), "marked")
 
         place = F.struct("k1", "k2", "at")
-        contexts = stage(self.marked.groupBy("gram", "m1", "m2").agg(F.count("*").alias("n"), F.min(place).alias("first")), "contexts")
+        contexts = stage(self.marked.groupBy("gram", "m1", "m2").agg(F.sum("times").alias("n"), F.min(place).alias("first")), "contexts")
         hot = stage(contexts.groupBy("gram").count().filter(F.col("count") > bucket).select("gram"), "hot-grams")
         self.has_hot = not hot.isEmpty()
         self.cold = self._with_text(contexts.join(hot, "gram", "left_anti") if self.has_hot else contexts)
         self.hot = self._with_text(contexts.join(hot, "gram", "left_semi"))
 
-    def _bucketed(self, texts: DataFrame) -> DataFrame:
-        """A stage table bucketed by its keys: later joins on them do not move the text."""
+    def _bucketed(self, texts: DataFrame, candidates: DataFrame) -> DataFrame:
+        """Texts with candidates as a stage table bucketed by its keys: later joins on them do not move the text."""
         spark = texts.sparkSession
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         name = f"repeats_{uuid.uuid4().hex}"
-        dealt = texts.repartition(buckets, "k1", "k2")
+        dealt = texts.repartition(buckets, "k1", "k2").join(candidates.repartition(buckets, "k1", "k2"), ["k1", "k2"]).dropDuplicates(["k1", "k2"])
         dealt.write.bucketBy(buckets, "k1", "k2").option("path", stage_path(spark, "repeat-texts")).option("compression", "zstd").saveAsTable(name)
         table = spark.table(name)
         spark.sql(f"DROP TABLE {name}")  # an external table: the files stay
