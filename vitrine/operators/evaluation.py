@@ -21,14 +21,16 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", share: float =
     """Add a boolean that is true for ``share`` of every class, chosen by hash of the key.
 
     The cut is a quantile of the hash per class, so a dominant class is never ranked in one
-    task. With a class below two rows the split is not stratified.
+    task. Rows without a class are a class of their own. With a class below two rows the split is
+    not stratified.
     """
     hashed = df.withColumn("_share", hash_share(key, seed))
+    hashed = hashed.withColumn("_class", F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")))
     smallest = df.groupBy(label).agg(F.count("*").alias("n")).agg(F.min("n").alias("n"), F.count("*").alias("k")).first()
     if smallest["k"] < 2 or smallest["n"] < 2:
-        return hashed.withColumn(name, F.col("_share") <= quantile_scalar(hashed, "_share", share)).drop("_share")
-    cuts = stage(exact_quantiles(hashed, {"s": "_share"}, [share], by=[label]).select(label, F.col("value").alias("_cut")), "split-cuts")
-    return hashed.join(cuts, label).withColumn(name, F.col("_share") <= F.col("_cut")).drop("_share", "_cut")
+        return hashed.withColumn(name, F.col("_share") <= quantile_scalar(hashed, "_share", share)).drop("_share", "_class")
+    cuts = stage(exact_quantiles(hashed, {"s": "_share"}, [share], by=["_class"]).select("_class", F.col("value").alias("_cut")), "split-cuts")
+    return hashed.join(cuts, "_class").withColumn(name, F.col("_share") <= F.col("_cut")).drop("_share", "_cut", "_class").select(*df.columns, name)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -166,7 +166,7 @@ def normalize_page_rows(raw: DataFrame, platform: str) -> DataFrame:
     )
 
 
-_LD_SCRIPT = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
+_LD_SCRIPT = r"""(?is)<script\b[^>]*\btype\s*=\s*["']?\s*application/ld\+json\b[^>]*>(.*?)</script\s*>"""
 
 
 def _jsonld_items(pages: DataFrame) -> DataFrame:
@@ -184,9 +184,15 @@ def _field(path: str, kind: str = "string") -> Column:
     return F.try_variant_get("item", path, kind)
 
 
+def _plain(path: str) -> Column:
+    """A text field; null where the value is a list or an object."""
+    value = _field(path)
+    return F.when(~value.rlike(r"^[\[{]"), value)
+
+
 def extract_jsonld_products(pages: DataFrame) -> DataFrame:
     """Products of a page table (page_id, url, html); ``url`` is the base of relative links."""
-    link, image = F.coalesce(_field("$.url"), F.lit("")), F.coalesce(_field("$.image[0]"), _field("$.image.url"), _field("$.image"), F.lit(""))
+    link, image = F.coalesce(_field("$.url"), F.lit("")), F.coalesce(_field("$.image[0]"), _field("$.image.url"), _plain("$.image"), F.lit(""))
     absolute = F.concat(F.regexp_replace("url", "/+$", ""), F.lit("/"), F.regexp_replace(link, "^/+", ""))
     return (
         _jsonld_items(pages)
@@ -204,6 +210,15 @@ def extract_jsonld_products(pages: DataFrame) -> DataFrame:
     )
 
 
+def _element_body(depth: int = 4) -> str:
+    """Pattern of an element's content with up to ``depth`` nested elements of the same name (group 1)."""
+    inside = r"[^<]++|<(?!/?\1\b)[^>]*+>"
+    body = rf"(?:{inside})*+"
+    for _ in range(depth):
+        body = rf"(?:{inside}|<\1\b[^>]*+>{body}</\1\s*+>)*+"
+    return body
+
+
 def _leading_number(text: Column) -> Column:
     return F.regexp_extract(text, r"^\s*([+-]?\d+\.?\d*)", 1).try_cast("double")
 
@@ -221,10 +236,10 @@ def extract_page_observations(pages: DataFrame) -> DataFrame:
     rated = F.filter(
         items,
         lambda i: (F.try_variant_get(i, "$['@type']", "string") == "Product")
-        & F.try_variant_get(i, "$.aggregateRating", "variant").isNotNull(),
+        & ~F.coalesce(F.is_variant_null(F.try_variant_get(i, "$.aggregateRating", "variant")), F.lit(True)),
     )
     classes = "|".join(BADGE_CLASSES)
-    badge = rf'(?is)<(\w+)[^>]*(?:class="[^"]*\b(?:{classes})\b[^"]*"|\b{BADGE_ATTRIBUTE}\b)[^>]*>(.*?)</\1>'
+    badge = rf'(?is)<(\w+)[^>]*(?:class="[^"]*\b(?:{classes})\b[^"]*"|\b{BADGE_ATTRIBUTE}\b)[^>]*>({_element_body()})</\1\s*>'
     badge_mark = F.regexp_extract(F.regexp_replace(F.regexp_extract("html", badge, 2), "<[^>]+>", ""), r"(\d+\.?\d*)", 1)
     buttons = F.regexp_extract_all("html", F.lit(r"(?is)(<button.*?</button>)"), F.lit(1))
     cart = F.get(F.filter(buttons, lambda b: F.lower(F.regexp_replace(b, "<[^>]+>", "")).rlike(CART_WORDS)), F.lit(0))

@@ -40,21 +40,48 @@ def frequent_itemsets(
 ) -> DataFrame:
     """(items, freq, n_baskets, support); min_support None means the adaptive rule.
 
-    MLlib's parallel FP-growth only ships the frequent items of each basket to the partitions
-    that own them. Too few baskets give an empty table.
+    With ``max_len`` sets grow level by level and stop there, so longer sets are never made.
+    Without it MLlib's parallel FP-growth only ships the frequent items of each basket to the
+    partitions that own them. Too few baskets give an empty table.
     """
     baskets = stage(baskets.select("items"), "baskets")
     n = baskets.count()
     if n < max(1, min_baskets):
         return baskets.sparkSession.createDataFrame([], "items array<string>, freq bigint, n_baskets bigint, support double")
     wanted = adaptive_support(n) if min_support is None else min_support
+    if max_len:
+        found = _levelwise(baskets, n, wanted, max_len)
+        return found.withColumns({"n_baskets": F.lit(n).cast("long"), "support": F.col("freq") / F.lit(n)})
     # FP-growth rounds its count threshold up; the small step back keeps exact multiples in.
     model = FPGrowth(itemsCol="items", minSupport=max(0.0, wanted - 1e-12), minConfidence=0.0).fit(baskets)
     found = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq").withColumns(
         {"n_baskets": F.lit(n).cast("long"), "support": F.col("freq") / F.lit(n)}
     )
-    found = found.filter(F.col("support") >= wanted)
-    return found.filter(F.size("items") <= max_len) if max_len else found
+    return found.filter(F.col("support") >= wanted)
+
+
+def _levelwise(baskets: DataFrame, n: int, support: float, max_len: int) -> DataFrame:
+    """(items, freq) of frequent sets up to ``max_len`` items.
+
+    A level holds (basket, set) rows of the frequent sets. Two sets of a basket that agree in all
+    but the last item make the next candidate; counts are combined on the map side, and only rows
+    of frequent sets go on, so a set is extended only if it is frequent itself.
+    """
+    numbered = stage(baskets.withColumn("basket", F.monotonically_increasing_id()), "numbered-baskets")
+    rows = numbered.select("basket", F.explode(F.array_distinct("items")).alias("item")).select("basket", F.array().cast("array<string>").alias("head"), F.col("item").alias("tail"))
+    result = None
+    for size in range(1, max_len + 1):
+        rows = stage(rows, "itemset-level")
+        counts = rows.groupBy("head", "tail").agg(F.count("*").alias("freq"))
+        frequent = stage(counts.filter(F.col("freq") / F.lit(n) >= support), "frequent-sets")
+        sets = frequent.select(F.array_append("head", F.col("tail")).alias("items"), "freq")
+        result = sets if result is None else result.unionByName(sets)
+        if size == max_len or frequent.isEmpty():
+            break
+        rows = rows.join(frequent.select("head", "tail"), ["head", "tail"], "left_semi")
+        other = rows.select("basket", "head", F.col("tail").alias("next"))
+        rows = rows.join(other, ["basket", "head"]).filter("tail < next").select("basket", F.array_append("head", F.col("tail")).alias("head"), F.col("next").alias("tail"))
+    return result
 
 
 def _subset(items: Column, mask: Column, inside: bool) -> Column:
@@ -70,9 +97,15 @@ def generate_rules(itemsets: DataFrame) -> DataFrame:
     """
     itemsets = stage(itemsets, "itemsets")
     known = itemsets.select("items", "support")
-    masks = F.sequence(F.lit(1).cast("long"), F.call_function("shiftleft", F.lit(1).cast("long"), F.size("items")) - 2)
+    one = F.lit(1).cast("long")
+    # Masks are made in runs of 4096, each run a row of its own, so that no row holds 2^k of them.
+    last = F.call_function("shiftleft", one, F.size("items")) - 2
+    runs = F.sequence(F.lit(0).cast("long"), F.shiftright(last, 12))
+    first = F.col("run") * 4096
+    masks = F.sequence(F.greatest(one, first), F.least(last, first + 4095))
     split = (
         itemsets.filter(F.size("items") >= 2)
+        .select("items", "support", F.explode(runs).alias("run"))
         .select("items", "support", F.explode(masks).alias("mask"))
         .select("support", _subset(F.col("items"), F.col("mask"), True).alias("antecedents"), _subset(F.col("items"), F.col("mask"), False).alias("consequents"))
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field, fields
 
 
@@ -13,8 +14,8 @@ class BadArguments(ValueError):
         self.problems = problems
 
 
-def _option(default, kind: type, low=None, high=None, choices=None):
-    return field(default=default, metadata={"kind": kind, "low": low, "high": high, "choices": choices})
+def _option(default, kind: type, low=None, high=None, choices=None, pattern=False):
+    return field(default=default, metadata={"kind": kind, "low": low, "high": high, "choices": choices, "pattern": pattern})
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,11 @@ def _problems(name: str, value, spec) -> list[str]:
         found.append(f"{name}: above {rule['high']}")
     if rule["choices"] and value not in rule["choices"]:
         found.append(f"{name}: not one of {', '.join(rule['choices'])}")
+    if rule["pattern"]:
+        try:
+            re.compile(value)
+        except re.error as wrong:
+            found.append(f"{name}: not a pattern: {wrong}")
     return found
 
 
@@ -81,7 +87,7 @@ class CatalogStats(_Arguments):
 
 @dataclass(frozen=True)
 class SearchProducts(_Arguments):
-    query: str | None = _option(None, str)
+    query: str | None = _option(None, str, pattern=True)
     category: str | None = _option(None, str)
     min_price: float | None = _option(None, float, 0.0)
     max_price: float | None = _option(None, float, 0.0)

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,14 +22,14 @@ def read_done(spark: SparkSession, path: str) -> DataFrame:
         done = spark.read.parquet(path)
         if "id" in done.columns:
             return done
-    except AnalysisException:
-        pass
+    except (PySparkException, Py4JJavaError):
+        pass  # no table, or files whose schema cannot be read
     return spark.createDataFrame([], "id string")
 
 
 def pending_products(products: DataFrame, done: DataFrame) -> DataFrame:
     """Products not yet processed. Failed rows are in ``done`` too and are never retried."""
-    return products.join(done.select("id").distinct(), "id", "left_anti")
+    return products.join(done.select("id"), "id", "left_anti")
 
 
 def merge_enrichment(products: DataFrame, observations: DataFrame) -> DataFrame:

@@ -16,19 +16,37 @@ from .oracle_base import with_ctes
 QUERIES = {}
 ORACLES = {}
 
-# ---- density on the embeddings' first three axes ---------------------------------------------
+# ---- density on three sums over all axes of the embeddings -----------------------------------
 
 _AXES = ["e0", "e1", "e2"]
 _EPS, _MIN = 0.04, 5
 
 
+def _axis_sum(k: int):
+    """Every third axis from ``k`` on, summed and scaled to the spread of one axis."""
+    picked = F.filter("embedding", lambda x, i: i % 3 == k)
+    return F.aggregate(picked, F.lit(0.0), lambda total, x: total + x.cast("double")) / F.sqrt(F.size(picked))
+
+
 def _vectors(spark, sf) -> DataFrame:
-    return table(spark, sf, "embeddings").select(
-        "vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"e{i}") for i in range(3)]
-    )
+    return table(spark, sf, "embeddings").select("vec_id", "label", *[_axis_sum(k).alias(f"e{k}") for k in range(3)])
+
+
+def _wide_vectors(spark, sf) -> DataFrame:
+    """All axes as columns."""
+    rows = table(spark, sf, "embeddings")
+    return rows.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"v{i}") for i in range(AXES)])
 
 
-_V = "SELECT vec_id, label, CAST(embedding[1] AS DOUBLE) AS e0, CAST(embedding[2] AS DOUBLE) AS e1, CAST(embedding[3] AS DOUBLE) AS e2 FROM embeddings"
+AXES = 64
+
+
+def _axis_sum_sql(k: int) -> str:
+    picked = f"list_filter(CAST(embedding AS DOUBLE[]), lambda x, i: (i - 1) % 3 = {k})"
+    return f"list_sum({picked}) / sqrt(len({picked})) AS e{k}"
+
+
+_V = f"SELECT vec_id, label, {_axis_sum_sql(0)}, {_axis_sum_sql(1)}, {_axis_sum_sql(2)} FROM embeddings"
 _D2 = "(a.e0 - b.e0) * (a.e0 - b.e0) + (a.e1 - b.e1) * (a.e1 - b.e1) + (a.e2 - b.e2) * (a.e2 - b.e2)"
 _DENSITY = f"""WITH RECURSIVE v AS MATERIALIZED ({_V}),
 near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE {_D2} <= {_EPS}e0 * {_EPS}e0),
@@ -120,12 +138,15 @@ QUERIES["isolation_forest"] = _isolation
 
 # ---- clustering quality ----------------------------------------------------------------------
 
-QUERIES["evaluate_clustering"] = lambda spark, sf: quality.evaluate_clustering(_vectors(spark, sf), _AXES, "label", "vec_id")
-ORACLES["evaluate_clustering"] = f"""WITH v AS MATERIALIZED ({_V}), c AS (SELECT label, avg(e0) AS e0, avg(e1) AS e1, avg(e2) AS e2 FROM v GROUP BY 1),
-s AS (SELECT label, avg(sqrt({_D2})) AS s FROM v a JOIN c b USING (label) GROUP BY 1),
-db AS (SELECT avg(r) AS r FROM (SELECT a.label, max((sa.s + sb.s) / sqrt({_D2})) AS r FROM c a JOIN c b ON a.label <> b.label
+QUERIES["evaluate_clustering"] = lambda spark, sf: quality.evaluate_clustering(
+    _wide_vectors(spark, sf), [f"v{i}" for i in range(AXES)], "label", "vec_id"
+)
+ORACLES["evaluate_clustering"] = """WITH v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+c AS MATERIALIZED (SELECT label, list(m ORDER BY i) AS x FROM (SELECT label, i, avg(y) AS m FROM (SELECT label, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM v) GROUP BY 1, 2) GROUP BY 1),
+s AS (SELECT label, avg(list_distance(a.x, b.x)) AS s FROM v a JOIN c b USING (label) GROUP BY 1),
+db AS (SELECT avg(r) AS r FROM (SELECT a.label, max((sa.s + sb.s) / list_distance(a.x, b.x)) AS r FROM c a JOIN c b ON a.label <> b.label
   JOIN s sa ON sa.label = a.label JOIN s sb ON sb.label = b.label GROUP BY 1)),
-m AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(sqrt({_D2})) AS t, count(*) AS n FROM v a, v b GROUP BY 1, 2, 3),
+m AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS t, count(*) AS n FROM v a, v b GROUP BY 1, 2, 3),
 sil AS (SELECT vec_id, max(CASE WHEN own = other THEN t / (n - 1) END) AS a, min(CASE WHEN own <> other THEN t / n END) AS b FROM m GROUP BY 1)
 SELECT (SELECT count(DISTINCT label) FROM v) AS n_clusters, 0 AS n_outliers,
 round_even((SELECT avg((b - a) / greatest(a, b)) FROM sil) * 1e4, 0) / 1e4 AS silhouette_score, round_even((SELECT r FROM db) * 1e4, 0) / 1e4 AS davies_bouldin"""

@@ -348,7 +348,7 @@ def _product_pages(spark, sf):
     product = F.concat(
         F.lit('{"@type": "Product", "name": "'), name, F.lit('", "sku": "'), F.col("id"),
         F.lit('", "url": "/p/'), F.col("id"), F.lit('", "image": '), F.coalesce(image, F.lit('""')),
-        F.lit(', "offers": {"price": "'), _whole("price"), F.lit(',5", "priceCurrency": "EUR"}'), rating, F.lit("}"),
+        F.lit(', "offers": {'), F.coalesce(F.concat(F.lit('"price": "'), _whole("price"), F.lit(',5", ')), F.lit("")), F.lit('"priceCurrency": "EUR"}'), rating, F.lit("}"),
     )
     thing = F.lit('{"@type": "BreadcrumbList", "name": "trail"}')
     script = (
@@ -367,7 +367,6 @@ def _product_pages(spark, sf):
     )
     return (
         listings(spark, sf)
-        .filter(F.col("price").isNotNull())
         .select(F.concat_ws("/", "id", F.col("ingest_seq").cast("string")).alias("page_id"), F.lit("https://m.example.com/").alias("url"), html.alias("html"))
     )
 
@@ -375,16 +374,16 @@ def _product_pages(spark, sf):
 QUERIES["extract_jsonld_products"] = lambda spark, sf: normalize.extract_jsonld_products(_product_pages(spark, sf))
 ORACLES["extract_jsonld_products"] = with_ctes(
     "listings",
-    """SELECT id || '/' || ingest_seq AS page_id, replace(id, '-', ' ') AS title, '' AS description, floor(price) + 0.5e0 AS price,
+    """SELECT id || '/' || ingest_seq AS page_id, replace(id, '-', ' ') AS title, '' AS description, coalesce(floor(price) + 0.5e0, 0e0) AS price,
 'EUR' AS currency, 'https://m.example.com/p/' || id AS product_url, coalesce(image_url, '') AS image_url, id AS sku
-FROM listings WHERE price IS NOT NULL AND n_variants <> 2""",
+FROM listings WHERE n_variants <> 2""",
 )
 
 QUERIES["extract_page_observations"] = lambda spark, sf: normalize.extract_page_observations(_product_pages(spark, sf))
 ORACLES["extract_page_observations"] = with_ctes(
     "listings",
     """SELECT id || '/' || ingest_seq AS page_id, CASE WHEN n_variants IN (2, 3) THEN n_images + 0.5e0 ELSE coalesce(rating, 0e0) END AS rating,
-CASE WHEN n_variants NOT IN (2, 3) THEN ingest_seq END AS review_count, n_variants <> 4 AS is_in_stock FROM listings WHERE price IS NOT NULL""",
+CASE WHEN n_variants NOT IN (2, 3) THEN ingest_seq END AS review_count, n_variants <> 4 AS is_in_stock FROM listings""",
 )
 
 QUERIES["page_observations"] = lambda spark, sf: normalize.extract_page_observations(table(spark, sf, "pages"))
