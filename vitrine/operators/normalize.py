@@ -236,7 +236,8 @@ def extract_page_observations(pages: DataFrame) -> DataFrame:
     rated = F.filter(
         items,
         lambda i: (F.try_variant_get(i, "$['@type']", "string") == "Product")
-        & ~F.coalesce(F.is_variant_null(F.try_variant_get(i, "$.aggregateRating", "variant")), F.lit(True)),
+        & F.try_variant_get(i, "$.aggregateRating", "variant").isNotNull()
+        & ~F.is_variant_null(F.try_variant_get(i, "$.aggregateRating", "variant")),
     )
     classes = "|".join(BADGE_CLASSES)
     badge = rf'(?is)<(\w+)[^>]*(?:class="[^"]*\b(?:{classes})\b[^"]*"|\b{BADGE_ATTRIBUTE}\b)[^>]*>({_element_body()})</\1\s*>'
