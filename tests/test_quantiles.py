@@ -1,8 +1,11 @@
+import struct
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vitrine.functions.ordered import range_buckets, running_totals
-from vitrine.functions.quantiles import exact_quantiles
+from vitrine.functions.quantiles import exact_quantiles, order_pattern
 from vitrine.stages import stage
 
 PROBS = [0.0, 0.05, 0.5, 0.8, 0.95, 1.0]
@@ -43,3 +46,21 @@ def test_running_totals_over_many_buckets(spark):
     want = np.concatenate([[0], np.cumsum([v % 7 for v in range(5000)])])
     assert [r["n_before"] for r in got] == want[:-1].tolist() and got[0]["n_total"] == want[-1]
     assert range_buckets(df, "v", 300).select("range_bucket").distinct().count() > 10
+
+
+def test_pattern_is_the_order_of_doubles(spark):
+    values = [0.0, 5e-324, 1e-310, 2.2250738585072014e-308, 1e-12, 0.1, 1 / 3, 1.0, 4503599627370496.0, 1.7976931348623157e308, float("inf")]
+    values += [float(np.nextafter(2.0**k, 0)) for k in range(-1000, 1000, 97)]
+    df = spark.createDataFrame([(s * v,) for v in values for s in (1, -1)], "v double").select("v", order_pattern(F.col("v")).alias("bits"))
+    for row in df.collect():
+        size = struct.unpack("<q", struct.pack("<d", abs(row["v"])))[0]
+        assert row["bits"] == (-size if row["v"] < 0 else size)
+
+
+@pytest.mark.parametrize("kind", ["near_zero", "dominant"])
+def test_quantiles_of_crowded_values(spark, kind):
+    rng = np.random.default_rng(3)
+    x = 10.0 ** rng.uniform(-12, -2, 20000) if kind == "near_zero" else np.concatenate([np.full(20000, 0.25), rng.normal(0, 1, 200)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, {"v": "v"}, PROBS).collect()}
+    assert [got[p] for p in PROBS] == pytest.approx(list(np.quantile(x, PROBS)), rel=1e-12)

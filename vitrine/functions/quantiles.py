@@ -1,10 +1,11 @@
-"""Exact interpolated quantiles by histogram descent.
-
-``percentile`` merges every distinct value of a group into one buffer. Here a first pass counts
-values in logarithmic buckets, a second one subdivides only the buckets that hold the wanted
-ranks, and the last one counts distinct values inside the sub-bucket. Every pass aggregates on
-the map side, so a value or group that owns a third of the rows costs one counter per task, and
-no task ever sees more than one histogram or one sub-bucket.
+"""Exact interpolated quantiles by radix descent.
+
+``percentile`` merges every distinct value of a group into one buffer. Here a double is read as its
+64-bit pattern, whose order as a whole number is the order of the values. Four passes each look at
+16 bits: rows that share the bits found so far with a wanted rank are counted by the next 16, and the
+counts before the rank go down with it. Every pass aggregates on the map side and a group has at
+most 65,536 counters in a pass, whatever its values: neither a dominant value nor values crowded
+over many orders of magnitude bring rows together.
 """
 
 from __future__ import annotations
@@ -14,12 +15,20 @@ from pyspark.sql import functions as F
 
 from ..stages import stage
 
-_PER_OCTAVE = 64
-_FINE = 4096
+_DIGITS = 4
+_BITS = 16
 
 
-def _log_bucket(value: Column) -> Column:
-    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1.0) * _PER_OCTAVE)).cast("int")
+def order_pattern(value: Column) -> Column:
+    """The bits of a double as a long in the order of the values: sign times magnitude, infinities last, NaN after them."""
+    size = F.abs(value)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022))
+    above = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).otherwise(guess)  # log2 may round up
+    exponent = F.greatest(F.when(F.pow(F.lit(2.0), above + 1) <= size, above + 1).otherwise(above), F.lit(-1022))
+    normal = (exponent + 1022).cast("long") * (1 << 52) + (size / F.pow(F.lit(2.0), exponent) * 2.0**52).cast("long")
+    tiny = (size * 2.0**537 * 2.0**537).cast("long")  # below 2^-1022 the pattern counts steps of 2^-1074
+    bits = F.when(size == 0, F.lit(0).cast("long")).when(size < 2.0**-1022, tiny).when(size == float("inf"), F.lit(2047 << 52)).otherwise(normal)
+    return F.when(F.isnan(value), F.lit(2**63 - 1)).when(value < 0, -bits).otherwise(bits)
 
 
 def exact_quantiles(
@@ -58,68 +67,28 @@ def exact_quantiles(
             *group, F.explode(F.arrays_zip(F.array(*map(F.lit, probs)).alias("prob"), F.col("q").alias("value"))).alias("z")
         ).select(*group, "z.prob", "z.value")
 
-    long = long.withColumn("b1", _log_bucket(F.col("value")))
-    seen = [F.sum("w").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")]
-
-    def holding_ranks(hist: DataFrame, inner: list[str], bucket: str) -> DataFrame:
-        """Keep the buckets that contain a wanted rank, with the rows before them."""
-        upto = F.sum("n").over(Window.partitionBy(*inner).orderBy(bucket))
-        return hist.withColumn("before", F.col("offset") + upto - F.col("n")).filter(
-            (F.col("before") <= F.col("rank_hi")) & (F.col("before") + F.col("n") > F.col("rank_lo"))
-        )
-
-    # Pass 1: one row per occupied logarithmic bucket.
-    coarse = long.groupBy(*group, "b1").agg(*seen)
-    total = F.sum("n").over(Window.partitionBy(*group))
-    ranked = (
-        coarse.withColumn("total", total)
-        .withColumn("offset", F.lit(0).cast("long"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("at", F.col("prob") * (F.col("total") - 1))
-        .withColumn("rank_lo", F.floor("at"))
-        .withColumn("rank_hi", F.ceil("at"))
-    )
-    targets = holding_ranks(ranked, [*group, "prob"], "b1").select(
-        *group, "prob", "at", "rank_lo", "rank_hi", "b1", F.col("before").alias("offset"),
-        F.col("lo").alias("lo1"), F.col("hi").alias("hi1"),
-    )
-    # Without keys there are at most measures x probs x 2 targets. With keys their number grows
-    # with the groups: as a stage table its measured size decides between broadcast and shuffle.
-    targets = stage(targets, "quantile-targets") if by else F.broadcast(targets)
-
-    # Pass 2: linear sub-buckets, only inside the target buckets.
-    width = F.col("hi1") - F.col("lo1")
-    inside = long.join(targets, [*group, "b1"]).withColumn(
-        "b2",
-        F.when(width > 0, F.floor((F.col("value") - F.col("lo1")) / width * _FINE)).otherwise(0).cast("int"),
-    )
-    keep = [*group, "prob", "at", "rank_lo", "rank_hi", "b1"]
-    fine = inside.groupBy(*keep, "offset", "lo1", "hi1", "b2").agg(*seen)
-    fine = holding_ranks(fine, [*group, "prob", "b1"], "b2").select(
-        *keep, "lo1", "hi1", "b2", F.col("before").alias("offset"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), "n"
-    )
-    fine = stage(fine, "quantile-buckets") if by else F.broadcast(fine)
-
-    # Pass 3: distinct values of the sub-buckets that hold the ranks.
-    width = F.col("hi1") - F.col("lo1")
-    values = (
-        long.join(fine.drop("n"), [*group, "b1"])
-        .filter(
-            F.when(width > 0, F.floor((F.col("value") - F.col("lo1")) / width * _FINE)).otherwise(0).cast("int") == F.col("b2")
-        )
-        .groupBy(*keep, "b2", "offset", "value")
-        .agg(F.sum("w").alias("n"))
-    )
-    hit = holding_ranks(values, [*group, "prob", "b1", "b2"], "value")
-    after = F.col("before") + F.col("n")
-    return (
-        hit.groupBy(*group, "prob", "at", "rank_lo", "rank_hi")
-        .agg(
-            F.max(F.when((F.col("before") <= F.col("rank_lo")) & (after > F.col("rank_lo")), F.col("value"))).alias("a"),
-            F.max(F.when((F.col("before") <= F.col("rank_hi")) & (after > F.col("rank_hi")), F.col("value"))).alias("b"),
-        )
-        .select(*group, "prob", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.col("rank_lo"))).alias("value"))
-    )
+    long = long.withColumn("bits", order_pattern(F.col("value")))
+    total = long.groupBy(*group).agg(F.sum("w").alias("total"))
+    ranked = total.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).withColumn("at", F.col("prob") * (F.col("total") - 1))
+    ends = F.array(F.struct(F.lit(0).alias("end"), F.floor("at").alias("rank")), F.struct(F.lit(1).alias("end"), F.ceil("at").alias("rank")))
+    wanted = ranked.select(*group, "prob", "at", F.explode(ends).alias("e")).select(*group, "prob", "at", "e.end", "e.rank")
+    # ``prefix`` holds the bits found so far, ``rank`` counts inside the rows that share them. There
+    # are two rows for each group and probability; as stage tables their size decides how they join.
+    wanted = stage(wanted.withColumn("prefix", F.lit(0).cast("long")), "quantile-ranks")
+    for digit in range(_DIGITS):
+        low = _BITS * (_DIGITS - 1 - digit)
+        rows = long.withColumn("prefix", F.shiftright("bits", low + _BITS) if digit else F.lit(0).cast("long"))
+        if digit:
+            places = wanted.select(*group, "prefix").distinct()
+            rows = rows.join(places, [*group, "prefix"], "left_semi")
+        counts = rows.groupBy(*group, "prefix", F.shiftright("bits", low).alias("next")).agg(F.sum("w").alias("n"), F.min("value").alias("least"))
+        upto = F.sum("n").over(Window.partitionBy(*group, "prefix").orderBy("next"))
+        counts = counts.withColumn("before", upto - F.col("n"))
+        found = wanted.join(counts, [*group, "prefix"]).filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
+        keep = [*group, "prob", "at", "end", (F.col("rank") - F.col("before")).alias("rank"), F.col("next").alias("prefix")]
+        wanted = found.select(*keep, "least") if digit == _DIGITS - 1 else stage(found.select(*keep), "quantile-ranks")
+    both = wanted.groupBy(*group, "prob", "at").agg(F.max(F.when(F.col("end") == 0, F.col("least"))).alias("a"), F.max(F.when(F.col("end") == 1, F.col("least"))).alias("b"))
+    return both.select(*group, "prob", (F.col("a") + (F.col("b") - F.col("a")) * (F.col("at") - F.floor("at"))).alias("value"))
 
 
 def quantile_scalar(df: DataFrame, column: Column | str, prob: float, weight: str | None = None) -> Column:

@@ -71,7 +71,7 @@ def score_segments(df: DataFrame, order: str, m: Models) -> DataFrame:
     """Score new rows with stored models. Nothing is fitted; scores are not down-weighted."""
     scaled_names = [f"z_{c}" for c in m.columns]
     base = df.drop(*segment.OUTPUT_DEFAULTS)
-    absent = {c: F.lit(0.0) for c in m.columns if c not in base.columns}
+    absent = {c: F.lit(0.0) for c in (*m.columns, *m.forest.columns) if c not in base.columns}
     table = segment.zscore(base.withColumns(absent) if absent else base, m.columns, m.scaler)
     table = segment.nearest_centre(table, scaled_names, m.centres)
     names = segment.name_clusters(segment.centre_table(df.sparkSession, m.columns, m.centres), m.bounds)
@@ -94,18 +94,21 @@ def segment_catalog(df: DataFrame, order: str, models_folder: str | None = None,
     return table
 
 
-def _guarded(name: str, step: Callable[[], None]) -> None:
-    """Late steps may fail without losing the finished tables."""
+def _guarded(name: str, step: Callable[[], None]) -> tuple[str, str] | None:
+    """Late steps may fail without losing the finished tables; the name and error of one that does."""
     try:
         step()
-    except Exception:  # noqa: BLE001 - reported, then the flow goes on
+    except Exception as wrong:  # noqa: BLE001 - reported, then the flow goes on
         log.exception("step %s failed", name)
+        return name, f"{type(wrong).__name__}: {wrong}"[:500]
+    return None
 
 
 def run_standard(raw: DataFrame, arrival: list[str], order: str, folder: str, k: int = 20, rounds: int | None = None, **settings) -> DataFrame:
     """Clean, features, segments, models, rules, publish. Returns the published catalog.
 
-    A failure in cleaning or features stops the flow, later steps are logged and skipped.
+    A failure in cleaning or features stops the flow; later steps are logged, skipped and listed in
+    the table failed_steps (step, error), which is empty after a run without failures.
     """
     spark = raw.sparkSession
     files.write_table(clean.clean_standard(raw, arrival), folder, "products_cleaned")
@@ -135,8 +138,11 @@ def run_standard(raw: DataFrame, arrival: list[str], order: str, folder: str, k:
         files.write_table(dashboard.top_k(final["table"], k), folder, "top_k_products")
         files.publish_alias(spark, folder)
 
+    failed: list[tuple[str, str]] = []
     for name, step in (("segments", segments), ("models", learn), ("rules", mine), ("publish", publish)):
-        _guarded(name, step)
+        if (failure := _guarded(name, step)) is not None:
+            failed.append(failure)
+    files.write_table(spark.createDataFrame(failed, "step string, error string"), folder, "failed_steps")
     return spark.read.parquet(f"{folder}/products_final")
 
 
@@ -183,7 +189,7 @@ def segment_metrics(df: DataFrame, columns: list[str], label: str = "cluster_kme
         F.first("pca_variance_explained").alias("pca_variance_explained"),
     )
     judged = quality.evaluate_clustering(df, columns, label).select(
-        F.col("silhouette_score").alias("silhouette_score_kmeans"), F.col("davies_bouldin").alias("davies_bouldin_kmeans")
+        F.col("silhouette_squared").alias("silhouette_squared_kmeans"), F.col("davies_bouldin").alias("davies_bouldin_kmeans")
     )
     return _long("clustering", row).unionAll(_long("clustering", judged))
 

@@ -275,12 +275,12 @@ QUERIES["boosted_multiclass"] = lambda spark, sf: supervised.train_multiclass(
     data.published(spark, sf), _model_columns(spark, sf), boosted=True, rounds=5
 ).metrics
 QUERIES["feature_importance"] = lambda spark, sf: supervised.feature_importance(
-    supervised.train_multiclass(data.published(spark, sf), _model_columns(spark, sf), rounds=20)
+    supervised.train_multiclass(data.published(spark, sf), _model_columns(spark, sf))
 )
 
 
 def _folds(spark, sf) -> DataFrame:
-    mean, deviation = supervised.cross_validated_f1(data.published(spark, sf), _model_columns(spark, sf), "is_top_product", trees=20)
+    mean, deviation = supervised.cross_validated_f1(data.published(spark, sf), _model_columns(spark, sf), "is_top_product")
     return data.published(spark, sf).agg(F.count("*").alias("n_rows")).withColumns({"cv_f1_mean": F.lit(mean), "cv_f1_std": F.lit(deviation)})
 
 
