@@ -147,22 +147,27 @@ def normalize_woo(raw: DataFrame, base_url: Column) -> DataFrame:
     )
 
 
-def normalize_page_rows(raw: DataFrame, platform: str) -> DataFrame:
-    """Rows read off listing pages (title, price_raw, product_url, image_url, rating_raw).
+def normalize_page_rows(raw: DataFrame, platform: str, base_url: Column | None = None) -> DataFrame:
+    """Rows read off listing pages (title, price_raw, product_url, image_url, rating_raw; currency
+    and description where structured data gave them).
 
-    ``platform`` is the id prefix: ``shopify`` or ``woo``.
+    ``platform`` is the id prefix: ``shopify`` or ``woo``. ``base_url`` is the shop's address: its
+    host names a ``woo`` shop, and a missing product_url becomes the address.
     """
     woo = platform == "woo"
+    base = F.lit(None).cast("string") if base_url is None else base_url
+    described = [F.col("description")] if "description" in raw.columns and not woo else []
     return raw.select(
         parsing.page_id(F.col("product_url"), platform).alias("id"),
         trim_unicode(F.coalesce("title", F.lit(UNTITLED))).alias("title"),
         parsing.first_number(F.col("price_raw")).alias("price"),
         F.col("currency") if "currency" in raw.columns and not woo else F.lit("MAD").alias("currency"),
         (parsing.stars_to_five(F.col("rating_raw")) if woo else F.lit(None).cast("double")).alias("rating"),
-        (parsing.url_host(F.col("product_url")) if woo else F.lit(None).cast("string")).alias("shop_name"),
-        "product_url",
+        (parsing.url_host(base) if woo else F.lit(None).cast("string")).alias("shop_name"),
+        F.coalesce("product_url", base).alias("product_url"),
         "image_url",
         F.lit("woocommerce_playwright" if woo else "shopify_playwright").alias("source_platform"),
+        *described,
     )
 
 
@@ -199,6 +204,7 @@ def extract_jsonld_products(pages: DataFrame) -> DataFrame:
         .filter(_field("$['@type']") == "Product")
         .select(
             "page_id",
+            F.col("url").alias("base_url"),
             F.coalesce(_field("$.name"), F.lit("")).alias("title"),
             F.coalesce(_field("$.description"), F.lit("")).alias("description"),
             F.coalesce(F.translate(_field("$.offers.price"), ",", ".").try_cast("double"), F.lit(0.0)).alias("price"),
@@ -210,6 +216,12 @@ def extract_jsonld_products(pages: DataFrame) -> DataFrame:
     )
 
 
+def products_from_pages(pages: DataFrame) -> DataFrame:
+    """Canonical products of stored pages: structured data, normalised; one row per product found."""
+    rows = extract_jsonld_products(pages).withColumn("price_raw", F.col("price").cast("decimal(30,6)").cast("string"))
+    return normalize_page_rows(rows, "shopify", F.col("base_url"))
+
+
 def _element_body(depth: int = 4) -> str:
     """Pattern of an element's content with up to ``depth`` nested elements of the same name (group 1)."""
     inside = r"[^<]++|<(?!/?\1\b)[^>]*+>"

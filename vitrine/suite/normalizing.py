@@ -302,19 +302,20 @@ def _page_rows(spark, sf):
         F.concat(F.lit("dès "), _whole("price"), F.lit(",5 MAD au lieu de "), _whole("original_price")).alias("price_raw"),
         F.when(F.col("n_variants") < 7, F.concat("product_url", F.lit("//"))).otherwise("").alias("product_url"),
         "image_url",
+        F.concat(F.lit("https://b"), (F.col("ingest_seq") % 7).cast("string"), F.lit(".example.com/shop")).alias("base_url"),
         F.when(F.col("rating") > 0, F.concat(F.lit("Rated "), F.col("rating").cast("string"), F.lit(" out of 7"))).alias("rating_raw"),
     )
 
 
 for _platform in ("shopify", "woo"):
-    QUERIES[f"normalize_page_rows_{_platform}"] = lambda spark, sf, p=_platform: normalize.normalize_page_rows(_page_rows(spark, sf), p)
+    QUERIES[f"normalize_page_rows_{_platform}"] = lambda spark, sf, p=_platform: normalize.normalize_page_rows(_page_rows(spark, sf), p, F.col("base_url"))
     ORACLES[f"normalize_page_rows_{_platform}"] = with_ctes(
         "listings",
         f"""SELECT '{_platform}_' || CASE WHEN n_variants < 7 THEN string_split(product_url, '/')[-1] ELSE 'unknown' END AS id,
   trim(replace(coalesce(title, 'Produit inconnu'), chr(160), ' ')) AS title,
   CASE WHEN price IS NULL OR original_price IS NULL THEN 0e0 ELSE floor(price) + 0.5e0 END AS price, 'MAD' AS currency,
   {"CASE WHEN rating > 0 THEN round_even(rating / 7 * 5 * 100, 0) / 100 END" if _platform == "woo" else "CAST(NULL AS DOUBLE)"} AS rating,
-  {"CASE WHEN n_variants < 7 THEN string_split(product_url, '/')[3] END" if _platform == "woo" else "CAST(NULL AS VARCHAR)"} AS shop_name,
+  {"'b' || ingest_seq % 7 || '.example.com'" if _platform == "woo" else "CAST(NULL AS VARCHAR)"} AS shop_name,
   CASE WHEN n_variants < 7 THEN product_url || '//' ELSE '' END AS product_url, image_url,
   '{"woocommerce" if _platform == "woo" else "shopify"}_playwright' AS source_platform FROM listings""",
     )
@@ -371,7 +372,7 @@ def _product_pages(spark, sf):
     )
 
 
-QUERIES["extract_jsonld_products"] = lambda spark, sf: normalize.extract_jsonld_products(_product_pages(spark, sf))
+QUERIES["extract_jsonld_products"] = lambda spark, sf: normalize.extract_jsonld_products(_product_pages(spark, sf)).drop("base_url")
 ORACLES["extract_jsonld_products"] = with_ctes(
     "listings",
     """SELECT id || '/' || ingest_seq AS page_id, replace(id, '-', ' ') AS title, '' AS description, coalesce(floor(price) + 0.5e0, 0e0) AS price,
@@ -379,6 +380,14 @@ ORACLES["extract_jsonld_products"] = with_ctes(
 FROM listings WHERE n_variants <> 2""",
 )
 
+QUERIES["products_from_pages"] = lambda spark, sf: validate_catalog(normalize.products_from_pages(_product_pages(spark, sf)))[0].drop("shop_name", "rating")
+ORACLES["products_from_pages"] = with_ctes(
+    "listings",
+    """SELECT 'shopify_' || id AS id, replace(id, '-', ' ') AS title, '' AS description, CASE WHEN price IS NULL THEN 0e0 ELSE trunc(price) + 0.5e0 END AS price,
+'EUR' AS currency, 'https://m.example.com/p/' || id AS product_url, coalesce(image_url, '') AS image_url, 'shopify_playwright' AS source_platform
+FROM listings WHERE n_variants <> 2""",
+)
+
 QUERIES["extract_page_observations"] = lambda spark, sf: normalize.extract_page_observations(_product_pages(spark, sf))
 ORACLES["extract_page_observations"] = with_ctes(
     "listings",
