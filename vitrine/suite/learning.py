@@ -93,6 +93,16 @@ SELECT (SELECT count(*) FROM v) AS n_rows, round_even(d * 1e9, 0) / 1e9 AS radiu
 WHERE kd.i = least(best.i + 3, (SELECT count(*) - 1 FROM kd))"""
 
 
+QUERIES["detect_outliers"] = lambda spark, sf: density.detect_outliers(_vectors(spark, sf), _AXES, "vec_id").select("vec_id", "dbscan_cluster")
+_RADIUS = ORACLES["elbow_radius"].split("kd AS", 1)[1].rsplit("SELECT (SELECT count(*) FROM v)", 1)[0]
+ORACLES["detect_outliers"] = f"""WITH RECURSIVE w AS MATERIALIZED ({_V}),
+v AS MATERIALIZED (SELECT vec_id, label, {", ".join(f"(e{k} - (SELECT avg(e{k}) FROM w)) / (SELECT stddev_pop(e{k}) FROM w) AS e{k}" for k in range(3))} FROM w),
+kd AS{_RADIUS.rstrip()},
+radius AS MATERIALIZED (SELECT d AS r FROM kd, best WHERE kd.i = least(best.i + 3, (SELECT count(*) - 1 FROM kd))),
+near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b, radius WHERE {_D2} <= r * r),
+""" + _DENSITY.split("\n", 2)[2] + "SELECT vec_id, dbscan_cluster FROM final"
+
+
 def _catalog_points(spark, sf) -> DataFrame:
     number = F.split("id", "-")
     order = number[0].cast("long") * (1 << 31) + number[1].cast("long")
