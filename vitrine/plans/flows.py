@@ -12,7 +12,7 @@ from ..functions.scalars import have, np_round
 from ..operators import clean, density, evaluation, features, isolation, projection, quality, rules, segment, supervised
 from ..sources import files
 from ..sources.models import Models, load_models, save_models
-from ..stages import stage
+from ..stages import stage, stage_scope
 from . import dashboard
 
 log = logging.getLogger(__name__)
@@ -110,6 +110,11 @@ def run_standard(raw: DataFrame, arrival: list[str], order: str, folder: str, k:
     A failure in cleaning or features stops the flow; later steps are logged, skipped and listed in
     the table failed_steps (step, error), which is empty after a run without failures.
     """
+    with stage_scope(raw.sparkSession):
+        return _standard(raw, arrival, order, folder, k, rounds, **settings)
+
+
+def _standard(raw: DataFrame, arrival: list[str], order: str, folder: str, k: int, rounds: int | None, **settings) -> DataFrame:
     spark = raw.sparkSession
     files.write_table(clean.clean_standard(raw, arrival), folder, "products_cleaned")
     files.write_table(features.add_features(spark.read.parquet(f"{folder}/products_cleaned"), "max"), folder, "products_features")
@@ -200,6 +205,11 @@ def rule_metrics(found: DataFrame) -> DataFrame:
 
 def run_ops(raw: DataFrame, arrival: list[str], order: Callable[[DataFrame], DataFrame], folder: str, k: int = 30, rounds: int | None = None) -> DataFrame:
     """The packaged flow; returns its (stage, metric, value) table. ``order`` adds ``row_no``."""
+    with stage_scope(raw.sparkSession):
+        return _packaged(raw, arrival, order, folder, k, rounds)
+
+
+def _packaged(raw: DataFrame, arrival: list[str], order: Callable[[DataFrame], DataFrame], folder: str, k: int, rounds: int | None) -> DataFrame:
     spark = raw.sparkSession
     files.write_table(clean.clean_strict(raw, arrival), folder, "cleaned_data")
     files.write_table(features.add_ops_features(order(spark.read.parquet(f"{folder}/cleaned_data"))), folder, "features_data")

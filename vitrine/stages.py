@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,12 +45,22 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_stages(spark: SparkSession) -> int:
-    """Delete the stage tables this process wrote; returns how many there were."""
+def release_stages(spark: SparkSession, since: int = 0) -> int:
+    """Delete the stage tables this process wrote, but for the first ``since``; returns how many there were."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    count = len(_written)
-    while _written:
+    count = len(_written) - since
+    while len(_written) > since:
         path = jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(conf).delete(path, True)
     return count
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Stage tables written inside are deleted at the end: for steps whose results are written elsewhere."""
+    since = len(_written)
+    try:
+        yield
+    finally:
+        release_stages(spark, since)
