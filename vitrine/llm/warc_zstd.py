@@ -9,7 +9,8 @@ Which records are revisits is decided on digests alone: (page, digest, length) r
 digest with partial aggregation, so the copies of one page are one row per task. Pages are then
 dealt out by page, never by digest. Every task writes archives of at most ``ARCHIVE_BYTES`` of
 records through a file system that its URI names (file, hdfs, s3, ...), under a temporary name and
-moved when complete; a repeated task writes the same names again.
+moved when complete. Rows are sorted inside their task, so a repeated task writes the same archives
+under the same names again.
 
 Rows: a null payload is empty; a null page id is kept as an empty header and read back as null, and
 a group of equal payloads whose ids are all null has no revisits; repeated rows are records of
@@ -236,6 +237,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, archive_bytes: i
     ship_package(spark)
     root = folder or stage_path(spark, "archives")
     planned = plan_records(pages, **columns)
+    planned = planned.sortWithinPartitions("page", F.xxhash64("payload"), "url")
     planned = planned.select(F.col("page").cast("string").alias("page"), "url", "payload", "kind", F.col("refers_to").cast("string").alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
