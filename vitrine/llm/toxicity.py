@@ -116,12 +116,11 @@ def fit(
     if prior is None:
         share = known.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0]
         prior = min(max(share or 0.0, 0.01), 0.5)
-    confirmed = sample(texts.join(known.filter("label = 1").select("id").distinct(), "id"), "id", positives)
-    # Ids first, texts after: the sorted limit moves no text.
-    chosen = sample(texts.select("id"), "id", unlabelled).distinct()
-    others = texts.join(chosen, "id")
-    both = confirmed.select(F.lit(1).alias("positive"), "text").unionByName(others.select(F.lit(0).alias("positive"), "text"))
-    examples = stage(_distinct_words(both), "examples")
+    # Ids are chosen first: at most ``positives + unlabelled`` of them are broadcast, and no text is shuffled.
+    confirmed = sample(known.filter("label = 1").select("id").distinct().join(texts.select("id").distinct(), "id", "left_semi"), "id", positives)
+    others = sample(texts.select("id").distinct(), "id", unlabelled)
+    chosen = stage(confirmed.withColumn("positive", F.lit(1)).unionByName(others.withColumn("positive", F.lit(0))), "chosen")
+    examples = stage(_distinct_words(texts.join(F.broadcast(chosen), "id")), "examples")
 
     sizes = {r["positive"]: r["count"] for r in examples.groupBy("positive").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
