@@ -125,14 +125,16 @@ def fit(
     ship_package(docs.sparkSession)
     known = labels.filter(fold(id_col) != 0).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("label IN (0, 1)")
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    lengths = _staged(texts.join(known, "id"))
+    # Lengths first: the chosen ids (at most ``2 * examples + calibration``) are broadcast, and no text is shuffled.
+    lengths = stage(texts.select("id", F.octet_length("text").alias("bytes")).join(known, "id"), "labelled")
     chosen = None
     for label in (1, 0):
         part = lengths.filter((F.col("label") == label) & fold("id").isin(1, 2) & (F.col("bytes") > 0) & (F.col("bytes") <= example_bytes))
         part = sample(part, "id", examples).select("id", "label", F.lit(True).alias("example"))
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = chosen.unionByName(sample(lengths.filter(fold("id").isin(3, 4)), "id", calibration).select("id", "label", F.lit(False).alias("example")))
-    rows = _staged(texts.join(chosen, "id"), keep_text=True)
+    chosen = stage(chosen.distinct(), "chosen")
+    rows = stage(texts.join(F.broadcast(chosen), "id"), "labelled")
     taken = {label: [r["text"].encode() for r in rows.filter((F.col("label") == label) & F.col("example")).select("text").collect()] for label in (1, 0)}
     if not taken[0] or not taken[1]:
         share = known.agg((F.sum("label") + 1) / (F.count("*") + 2)).first()[0]
@@ -147,11 +149,6 @@ def fit(
     return Model(good, bad, *calibrate(features, target))
 
 
-def _staged(rows: DataFrame, keep_text: bool = False) -> DataFrame:
-    """Stage the labelled rows, with the text or with its length only."""
-    return stage(rows if keep_text else rows.select("id", "label", F.octet_length("text").alias("bytes")), "labelled")
-
-
 def score(docs: DataFrame, model: Model | Constant, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, held_out, score (0 to 1, the calibrated chance of good), predicted of every row's whole text."""
     ship_package(docs.sparkSession)
