@@ -1,0 +1,62 @@
+"""The pipeline's near copies against all pairs compared in Python."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+import pytest
+from vitrine.llm import shingle_join
+
+from .test_operators import words
+
+
+def shingles(text: str | None) -> set:
+    found = (text or "").lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def kept(rows: list[tuple]) -> list:
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                root[top(i)] = top(j)
+    return sorted(min(k for i, (k, _) in enumerate(rows) if top(i) == r) for r in {top(i) for i in range(len(rows))})
+
+
+def edited(text: str, rnd: random.Random, edits: int) -> str:
+    found = text.split()
+    for at in rnd.sample(range(len(found)), edits):
+        found[at] = f"edit{rnd.getrandbits(40)}"
+    return " ".join(found)
+
+
+@pytest.mark.parametrize("sample, common", [(16, 4), (1, 2)])
+def test_near_copies_equal_brute_force(spark, sample, common):
+    rnd, texts = random.Random(4), ["", None, " \n", "one two", "One  two", "three"]
+    line = words(99, 60)
+    for k in range(40):
+        base = words(1000 + k, rnd.randint(30, 300))
+        texts += [base, *[edited(base, rnd, rnd.randint(1, 1 + len(base.split()) // 25)) for _ in range(3)]]
+        texts += [line + " " + words(2000 + k, 2 + k // 2)]
+        if k < 5:  # chains: each near the one before it only
+            for _ in range(6):
+                texts.append(edited(texts[-1], rnd, 2))
+    order = list(range(len(texts)))
+    rnd.shuffle(order)
+    rows = [(i, texts[k]) for i, k in enumerate(order)]
+    left = shingle_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), sample=sample, common=common)
+    assert sorted(r["doc_id"] for r in left.collect()) == kept(rows)
+
+
+def test_stage_equals_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    left = corpus_pipeline.near_copies(spark, docs, sf)
+    assert sorted(r["doc_id"] for r in left.collect()) == kept([(r["doc_id"], r["text"]) for r in docs.collect()])

@@ -1,0 +1,173 @@
+"""Near copies by the exact Jaccard similarity of their sets of word shingles.
+
+Two texts are linked if their sets have a similarity of 4/5 or more; groups are what links connect.
+No fingerprint decides anything:
+
+1. Every set is put in one global order, rare shingles first. Of n shingles the first n - ceil(4n/5) + 1
+   are its prefix: two sets of similarity 4/5 always share a shingle of their prefixes (prefix filter),
+   and none of the shared shingles may come so late that too few are left behind it (positional filter).
+2. In every shared shingle all texts are compared with two centres. This joins large groups in linear
+   time; then all texts of a shingle that are still in different groups are compared in pairs.
+3. Every candidate pair is compared on the whole sets before it becomes a link.
+
+The order only has to be the same for all texts, so what counts as common may be estimated: shingles that
+occur ``COMMON`` times in a sample of the texts mark a bit map of fixed size, and marked ones go last. An
+error there costs time and loses no pair.
+
+Rows: null texts are empty; all texts without words are copies of each other; texts with fewer words than
+a shingle are one shingle; equal texts are one node; of a group the row of the least id stays, a null id
+only if there is no other; an empty table gives an empty result. Shingles are 64-bit hashes.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..operators.graph import connected_components
+from ..stages import stage
+from ..workers import ship_package
+from .common import same, text_or_empty
+
+SHINGLE_WORDS = 5
+SEED = 42
+#: One text in SAMPLE is counted; shingles of COMMON of them go last in the order.
+SAMPLE, COMMON = 16, 4
+_BITS = 1 << 22
+
+
+def shingle_digests(text: bytes, words: int) -> bytes:
+    """Big-endian XXH64 digests of all word shingles, one after the other."""
+    import xxhash
+
+    tokens = text.lower().split()  # bytes: lower-cases A-Z only, splits at ASCII white space
+    if not tokens:
+        return b""
+    joined = b" ".join(tokens)
+    if len(tokens) <= words:
+        return xxhash.xxh64_digest(joined, seed=SEED)
+    ends = list(accumulate(map(len, tokens), lambda at, n: at + 1 + n))
+    starts = [0] + [e + 1 for e in ends[:-words]]
+    return b"".join([xxhash.xxh64_digest(joined[a:b], seed=SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)])
+
+
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """The different shingles of a text, sorted; a single zero where there are none."""
+    found = np.unique(np.frombuffer(shingle_digests(text, words), dtype=">u8").astype(np.int64))
+    return found if len(found) else np.zeros(1, dtype=np.int64)
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The shingles of a set that come first in the order and of which similar sets share one."""
+    late = common[shingles & (_BITS - 1)]
+    return np.concatenate([shingles[~late], shingles[late]])[: len(shingles) - -(-4 * len(shingles) // 5) + 1]
+
+
+def _sets(nodes: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return nodes.mapInArrow(run, "node long, shingles array<long>")
+
+
+def _prefixes(nodes: DataFrame, words: int, common: np.ndarray) -> DataFrame:
+    """(token, node, size, at): the prefix of every text; ``at`` counts from 0."""
+    packed = np.packbits(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(packed).astype(bool)
+        for batch in batches:
+            sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
+            if not sets:
+                continue
+            heads = [prefix(s, marked) for s in sets]
+            counts = [len(h) for h in heads]
+            columns = [
+                pa.array(np.concatenate(heads)),
+                pa.array(np.repeat(batch.column("node").to_numpy(), counts)),
+                pa.array(np.repeat(np.array([len(s) for s in sets], dtype=np.int32), counts)),
+                pa.array(np.concatenate([np.arange(c, dtype=np.int32) for c in counts])),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "size", "at"])
+
+    return nodes.mapInArrow(run, "token long, node long, size int, at int")
+
+
+def _common(nodes: DataFrame, words: int, sample: int, least: int) -> np.ndarray:
+    """The bit map of common shingles; at most one row for each 64 bits comes to the driver."""
+    seen = _sets(nodes.filter(F.pmod("node", F.lit(sample)) == 0).dropDuplicates(["node"]), words)
+    often = seen.select(F.explode("shingles").alias("token")).groupBy("token").count().filter(F.col("count") >= least)
+    bit = F.col("token").bitwiseAND(F.lit(_BITS - 1))
+    rows = often.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.collect_set(bit.bitwiseAND(F.lit(63)).cast("int")).alias("bits")).collect()
+    common = np.zeros(_BITS, dtype=bool)
+    for r in rows:
+        common[r["word"] * 64 + np.array(r["bits"])] = True
+    return common
+
+
+def _can(left: Column, left_size: Column, right: Column, right_size: Column) -> Column:
+    """Whether sets that share a shingle and have ``left`` and ``right`` from it on can have similarity 4/5."""
+    return 9 * F.least(left, right) >= 4 * (left_size + right_size)
+
+
+def _similar(pairs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """The pairs (u, v) whose whole sets have similarity 4/5."""
+    pairs = stage(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
+    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+    sets = stage(_sets(nodes.join(wanted, "node", "left_semi").dropDuplicates(["node"]), words), "shingle-sets")
+    u, v = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "uv")
+    both = F.size(F.array_intersect("s_u", "s_v"))
+    return stage(pairs.join(u, "u").join(v, "v").filter(9 * both >= 4 * (F.size("s_u") + F.size("s_v"))).select("u", "v"), "similar")
+
+
+def near_groups(nodes: DataFrame, words: int = SHINGLE_WORDS, sample: int = SAMPLE, common: int = COMMON) -> DataFrame:
+    """(node, component) of all nodes (node, text) that share a shingle of their prefixes; all others are alone."""
+    ship_package(nodes.sparkSession)
+    tokens = _prefixes(nodes, words, _common(nodes, words, sample, common))
+    unit = Window.partitionBy("token")
+    centres = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "size", "at")).over(unit) for k in range(2)]
+    shared = tokens.withColumns({"low": F.min("node").over(unit), "high": F.max("node").over(unit), "centres": F.array(*centres)})
+    shared = stage(shared.filter("low != high").select("token", "node", "size", "at", "centres"), "shared-shingles")
+
+    near = shared.select("node", "size", "at", F.explode("centres").alias("c")).filter(F.col("node") != F.col("c.node"))
+    near = near.filter(_can(F.col("size") - F.col("at"), F.col("size"), F.col("c.size") - F.col("c.at"), F.col("c.size")))
+    links = _similar(near.select(F.col("node").alias("u"), F.col("c.node").alias("v")), nodes, words)
+
+    members = shared.select("node").distinct()
+    groups = stage(connected_components(members, links), "groups")
+    rest = F.col("size") - F.col("at")
+    parts = shared.select("token", "node", "size", rest.alias("rest")).distinct().join(groups, "node")
+    # Of a shingle, what groups hold at best: groups that cannot have a similar pair are not opened.
+    kinds = stage(parts.groupBy("token", "component").agg(F.max("rest").alias("rest"), F.min("size").alias("size")), "kinds")
+    a, b = (kinds.select("token", *[F.col(c).alias(f"{c}_{n}") for c in ("component", "rest", "size")]) for n in "ab")
+    cross = a.join(b, "token").filter("component_a < component_b").filter(_can(F.col("rest_a"), F.col("size_a"), F.col("rest_b"), F.col("size_b")))
+    cross = stage(cross.select("token", "component_a", "component_b"), "groups-to-compare")
+    if cross.isEmpty():
+        return groups
+    a, b = (parts.select("token", *[F.col(c).alias(f"{c}_{n}") for c in ("component", "node", "rest", "size")]) for n in "ab")
+    pairs = cross.join(a, ["token", "component_a"]).join(b, ["token", "component_b"])
+    pairs = pairs.filter(_can(F.col("rest_a"), F.col("size_a"), F.col("rest_b"), F.col("size_b")))
+    more = _similar(pairs.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")), nodes, words)
+    return groups if more.isEmpty() else stage(connected_components(members, links.union(more)), "groups")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, sample: int = SAMPLE, common: int = COMMON) -> DataFrame:
+    """``docs`` with one row of each group of near copies, all columns as they are."""
+    text = text_or_empty(text_col)
+    groups = near_groups(docs.select(F.xxhash64(text).alias("node"), text.cast("binary").alias("text")), words, sample, common)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"))
+    rows = rows.join(groups, rows["text_hash"] == groups["node"], "left").withColumn("component", F.coalesce("component", "text_hash"))
+    best = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
+    keep = stage(rows.groupBy("component").agg(F.min(best).alias("best")).select(F.col("best.id").alias("_k_id"), F.col("best.text_hash").alias("_k_text")), "kept")
+    marked = docs.withColumn("_d_text", F.xxhash64(text))
+    found = marked.join(keep, same(marked, keep, [(id_col, "_k_id"), ("_d_text", "_k_text")]), "left_semi")
+    return found.dropDuplicates([id_col, "_d_text"]).select(*docs.columns)

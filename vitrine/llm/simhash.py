@@ -10,7 +10,8 @@ such pairs together, and fingerprints are compared per anchor only.
 
 With 64 bits and a threshold of 4 one of the two blocks differs in 2 bits at most: nothing is
 missed. With more lanes and a wider threshold the search is a filter: a pair is found if one of
-its blocks differs in at most 2 bits.
+its blocks differs in at most 2 bits. Near copies by the similarity of their shingles are found
+without fingerprints in ``shingle_join``.
 
 Anchors with more fingerprints than ``UNIT`` are compared in units, one for each pair of slices of
 the anchor's fingerprints, so no task holds a whole hot anchor; all pairs are still compared. A
@@ -25,7 +26,7 @@ result; further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,30 +37,14 @@ from pyspark.sql import types as T
 from ..operators.graph import connected_components
 from ..stages import stage
 from ..workers import ship_package
-from .common import same, text_or_empty
+from .common import text_or_empty
+from .shingle_join import SHINGLE_WORDS, one_of_each, shingle_digests  # noqa: F401
 
-SHINGLE_WORDS = 5
-SEED = 42
 UNIT = 2048
 RADIUS = 2
 _CHUNK = 255 * 256  # shingles counted at a time: memory stays bounded for very long texts
 
 
-def shingle_digests(text: bytes, words: int) -> bytes:
-    """Big-endian XXH64 digests of all word shingles, one after the other."""
-    import xxhash
-
-    tokens = text.lower().split()  # bytes: lower-cases A-Z only, splits at ASCII white space
-    if not tokens:
-        return b""
-    joined = b" ".join(tokens)
-    if len(tokens) <= words:
-        return xxhash.xxh64_digest(joined, seed=SEED)
-    ends = list(accumulate(map(len, tokens), lambda at, n: at + 1 + n))
-    starts = [0] + [e + 1 for e in ends[:-words]]
-    return b"".join([xxhash.xxh64_digest(joined[a:b], seed=SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)])
-
-
 def lane(hashes: np.ndarray, number: int) -> np.ndarray:
     """Another 64 bits of each hash: lane 0 is the hash, the others are mixed from it."""
     if number == 0:
@@ -252,19 +237,3 @@ def components(
     named = stage(nodes.join(reached, nodes["node"] == reached["r_node"]).drop("r_node"), "reached")
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return rows.join(named.join(smallest, "component").select(*names, "node", "component", "component_id"), names)
-
-
-#: Fingerprint distance that stands for a similarity of 0.8 of the shingle sets in 256 bits: two
-#: sets with Jaccard similarity 0.8 have a cosine of 8/9 and differ in 38.8 bits on average, with
-#: a standard deviation of 5.7.
-WIDE_LANES, WIDE_THRESHOLD = 4, 42
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies (five-word shingles), all columns as they are."""
-    rows = components(docs, SHINGLE_WORDS, WIDE_LANES, WIDE_THRESHOLD, id_col, text_col)
-    best = F.struct(F.col("id").isNull().alias("u"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
-    keep = stage(rows.groupBy("component").agg(F.min(best).alias("best")).select(F.col("best.id").alias("_k_id"), F.col("best.text_hash").alias("_k_text")), "kept")
-    marked = docs.withColumn("_d_text", F.xxhash64(text_or_empty(text_col)))
-    found = marked.join(keep, same(marked, keep, [(id_col, "_k_id"), ("_d_text", "_k_text")]), "left_semi")
-    return found.dropDuplicates([id_col, "_d_text"]).select(*docs.columns)
