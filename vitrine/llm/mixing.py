@@ -16,6 +16,8 @@ empty table gives an empty result; further columns are not read.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from ..stages import stage
 from .common import same, text_or_empty
 
 ROUNDS = 12
+#: Drawing rakes until a round moves no margin by more than TOLERANCE, in MOST_ROUNDS at most.
+TOLERANCE, MOST_ROUNDS = 0.001, 60
 #: Shares of a margin are the observed ones to this power: 1 keeps them, 0 makes them equal.
 TEMPERATURE = 0.5
 MARGINS = ["source", "lang", "topic"]
@@ -44,11 +48,15 @@ def tempered(cells: DataFrame, margin: str, temperature: float = TEMPERATURE) ->
     return seen.select("value", (F.col("s") / F.lit(whole)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float | None = None) -> DataFrame:
     """``cells`` (margins and ``tokens``) with ``weight``: the factor that brings every margin to its target.
 
     A target is a table (value, share). Values that no cell has are left out and the other shares
     scaled up; cells of values without a target get no tokens.
+
+    With a ``tolerance`` the rounds end as soon as one has changed the weights by no more than this share
+    in any margin, so all margins are then within about twice of it; a warning names what is left if
+    ``rounds`` do not get there, as with targets that the cells cannot meet together.
     """
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
@@ -58,15 +66,24 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
         found = target.join(present, target["value"].eqNullSafe(present["v"]), "left_semi")
         whole = found.agg(F.sum("share")).first()[0]
         wanted[margin] = stage(found.select("value", (total * F.col("share") / F.lit(whole)).alias("wanted")), "target")
-    fitted = cells.withColumn("weight", F.lit(1.0))
+    fitted, moved = cells.withColumn("weight", F.lit(1.0)), None
     for _ in range(rounds):
+        fitted = fitted.withColumn("moved", F.lit(0.0))
         for margin, target in wanted.items():
             have = fitted.groupBy(F.col(margin).alias("h")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("have"))
             factor = have.join(target, have["h"].eqNullSafe(target["value"]), "left")
             factor = factor.select("h", F.when(F.col("have") > 0, F.coalesce("wanted", F.lit(0.0)) / F.col("have")).otherwise(1.0).alias("factor"))
-            fitted = fitted.join(factor, fitted[margin].eqNullSafe(factor["h"])).withColumn("weight", F.col("weight") * F.col("factor")).select(*cells.columns, "weight")
+            change = F.when((F.col("tokens") > 0) & (F.col("weight") > 0), F.abs(F.col("factor") - 1)).otherwise(0.0)
+            step = {"weight": F.col("weight") * F.col("factor"), "moved": F.greatest("moved", change)}
+            fitted = fitted.join(factor, fitted[margin].eqNullSafe(factor["h"])).withColumns(step).select(*cells.columns, "weight", "moved")
         fitted = stage(fitted, "raked")
-    return fitted
+        if tolerance is not None:
+            moved = fitted.agg(F.max("moved")).first()[0] or 0.0
+            if moved <= tolerance:
+                break
+    if tolerance is not None and moved is not None and moved > tolerance:
+        warnings.warn(f"raking: after {rounds} rounds a margin is still moved by {moved:.2g} (tolerance {tolerance:.2g})", stacklevel=2)
+    return fitted.select(*cells.columns, "weight")
 
 
 def uniform(identifier: Column) -> Column:
@@ -84,10 +101,10 @@ def labelled(docs: DataFrame, topic: Column | None = None, source_col: str = "so
     ]
 
 
-def cell_weights(rows: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def cell_weights(rows: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, tolerance: float | None = None) -> DataFrame:
     """(source, lang, topic, tokens, weight) of the documents' cells; tempered shares where no targets are given."""
     cells = stage(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "cells")
-    return rake(cells, targets or {m: tempered(cells, m) for m in MARGINS}, rounds)
+    return rake(cells, targets or {m: tempered(cells, m) for m in MARGINS}, rounds, tolerance)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, **columns) -> DataFrame:
@@ -104,16 +121,44 @@ def mix(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: di
     return joined.select(id_col, *MARGINS, "n_tokens", "weight", copies.alias("copies"))
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, **columns) -> DataFrame:
-    """The drawn rows of ``docs``, each once at most, all their columns as they are."""
+def _weighted(docs: DataFrame, targets: dict[str, DataFrame] | None, rounds: int, tolerance: float | None, columns: dict) -> DataFrame:
+    """``docs`` with the weight of their cell as _c_weight."""
     marks = labelled(docs, **columns)
-    weights = cell_weights(docs.select(*marks), targets, rounds)
+    weights = cell_weights(docs.select(*marks), targets, rounds, tolerance)
     renamed = weights.select(*[F.col(m).alias(f"_c_{m}") for m in MARGINS], F.col("weight").alias("_c_weight"))
     marked = docs.withColumns({f"_d_{m}": c for m, c in zip(MARGINS, marks[:3], strict=True)})
-    joined = marked.join(renamed, same(marked, renamed, [(f"_d_{m}", f"_c_{m}") for m in MARGINS]))
+    return marked.join(renamed, same(marked, renamed, [(f"_d_{m}", f"_c_{m}") for m in MARGINS])).select(*docs.columns, "_c_weight")
+
+
+def sample(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, **columns) -> DataFrame:
+    """The drawn rows of ``docs``, each once at most, all their columns as they are.
+
+    A weight above 1 is worth one copy here, so margins of rare cells fall short of their targets: ``draw`` meets them.
+    """
+    joined = _weighted(docs, targets, rounds, None, columns)
     return joined.filter(share * F.col("_c_weight") + uniform(F.col(id_col)) >= 1).select(*docs.columns)
 
 
+def draw(
+    docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: dict[str, DataFrame] | None = None, rounds: int = MOST_ROUNDS, tolerance: float = TOLERANCE, no_more_rows: bool = False, **columns
+) -> DataFrame:
+    """The drawn rows of ``docs``, each as often as its weight says, all their columns as they are.
+
+    The expected tokens of every margin have their target shares and add up to ``share`` of all tokens.
+    With ``no_more_rows`` the share is lowered, for all cells alike, until there are no more rows than in ``docs``.
+    """
+    joined = _weighted(docs, targets, rounds, tolerance, columns)
+    if no_more_rows:
+        drawn = stage(joined.select(F.col("_c_weight").alias("w"), uniform(F.col(id_col)).alias("u")), "weights")
+        while True:
+            rows, copies = drawn.agg(F.count("*"), F.sum(F.floor(share * F.col("w") + F.col("u")))).first()
+            if (copies or 0) <= rows:
+                break
+            share *= 0.999 * rows / copies
+    copies = F.floor(share * F.col("_c_weight") + uniform(F.col(id_col))).cast("int")
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+
+
 def oracle_steps(source: str = "documents", rounds: int = ROUNDS, temperature: float = TEMPERATURE) -> list[str]:
     """CTEs that end in mix_rows (labelled documents) and mix_cells (weights), in DuckDB SQL."""
     steps = [
