@@ -369,8 +369,8 @@ class RepeatIndex:
         candidates = anchors.join(repeated, "gram", "left_semi")
         # Rows with the same id and text become one text that counts as often as there are rows.
         found = F.collect_set(F.struct("gram", "at"))
-        candidates = candidates.groupBy("k1", "k2").agg(found.alias("found"), F.count("*").alias("anchors"))
-        candidates = candidates.select("k1", "k2", "found", (F.col("anchors") / F.size("found")).cast("long").alias("times"))
+        times = self.rows.groupBy("k1", "k2").agg(F.count("*").alias("times"))
+        candidates = candidates.groupBy("k1", "k2").agg(found.alias("found")).join(times, ["k1", "k2"])
         self.texts = self._bucketed(texts, candidates)
         self.marked = stage(_marked(self.texts, min_bytes), "marked")
 
