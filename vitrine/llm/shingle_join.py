@@ -68,17 +68,31 @@ def prefix(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
     return np.concatenate([shingles[~late], shingles[late]])[: len(shingles) - -(-4 * len(shingles) // 5) + 1]
 
 
-def _sets(nodes: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of (node, text)."""
+def _sets(nodes: DataFrame, words: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """(node, shingles) of (node, text); with a bit map only of nodes whose bit is set."""
+    packed = None if wanted is None else np.packbits(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = None if packed is None else np.unpackbits(packed).astype(bool)
         for batch in batches:
+            if marked is not None:
+                batch = batch.filter(pa.array(marked[batch.column("node").to_numpy() & (_BITS - 1)]))
             sets = [shingle_set(t, words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     return nodes.mapInArrow(run, "node long, shingles array<long>")
 
 
+def _bit_map(rows: DataFrame, column: str) -> np.ndarray:
+    """A map of fixed size with the bits of a column's values set; one number for each 64 bits comes to the driver."""
+    bit = F.col(column).bitwiseAND(F.lit(_BITS - 1))
+    words = rows.select(F.shiftright(bit, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    whole = np.zeros(_BITS // 64, dtype="<i8")
+    whole[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return np.unpackbits(whole.view(np.uint8), bitorder="little").astype(bool)
+
+
 def _prefixes(nodes: DataFrame, words: int, common: np.ndarray) -> DataFrame:
     """(token, node, size, at): the prefix of every text; ``at`` counts from 0."""
     packed = np.packbits(common)
@@ -103,15 +117,10 @@ def _prefixes(nodes: DataFrame, words: int, common: np.ndarray) -> DataFrame:
 
 
 def _common(nodes: DataFrame, words: int, sample: int, least: int) -> np.ndarray:
-    """The bit map of common shingles; at most one row for each 64 bits comes to the driver."""
+    """The bit map of common shingles."""
     seen = _sets(nodes.filter(F.pmod("node", F.lit(sample)) == 0).dropDuplicates(["node"]), words)
     often = seen.select(F.explode("shingles").alias("token")).groupBy("token").count().filter(F.col("count") >= least)
-    bit = F.col("token").bitwiseAND(F.lit(_BITS - 1))
-    rows = often.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.collect_set(bit.bitwiseAND(F.lit(63)).cast("int")).alias("bits")).collect()
-    common = np.zeros(_BITS, dtype=bool)
-    for r in rows:
-        common[r["word"] * 64 + np.array(r["bits"])] = True
-    return common
+    return _bit_map(often, "token")
 
 
 def _can(left: Column, left_size: Column, right: Column, right_size: Column) -> Column:
@@ -122,8 +131,8 @@ def _can(left: Column, left_size: Column, right: Column, right_size: Column) ->
 def _similar(pairs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """The pairs (u, v) whose whole sets have similarity 4/5."""
     pairs = stage(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "candidates")
-    wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    sets = stage(_sets(nodes.join(wanted, "node", "left_semi").dropDuplicates(["node"]), words), "shingle-sets")
+    wanted = _bit_map(pairs.select(F.col("u").alias("node")).union(pairs.select("v")), "node")
+    sets = stage(_sets(nodes, words, wanted).dropDuplicates(["node"]), "shingle-sets")  # no text is shuffled
     u, v = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}")) for c in "uv")
     both = F.size(F.array_intersect("s_u", "s_v"))
     return stage(pairs.join(u, "u").join(v, "v").filter(9 * both >= 4 * (F.size("s_u") + F.size("s_v"))).select("u", "v"), "similar")
