@@ -273,16 +273,16 @@ def _model_columns(spark, sf) -> list[str]:
 QUERIES["forest_multiclass"] = lambda spark, sf: supervised.train_multiclass(data.published(spark, sf), _model_columns(spark, sf)).metrics
 
 
-def _binary(spark, sf, boosted: bool, rounds: int | None = None) -> DataFrame:
+def _binary(spark, sf, boosted: bool) -> DataFrame:
     target = evaluation.top_quantile_target(data.features(spark, sf))
     columns = select_model_features(target, target="is_top_product", leakage=LEAKAGE["top"])
-    return supervised.train_binary(target, columns, "is_top_product", boosted=boosted, rounds=rounds).metrics
+    return supervised.train_binary(target, columns, "is_top_product", boosted=boosted).metrics
 
 
 QUERIES["forest_binary"] = lambda spark, sf: _binary(spark, sf, False)
-QUERIES["boosted_binary"] = lambda spark, sf: _binary(spark, sf, True, rounds=20)
+QUERIES["boosted_binary"] = lambda spark, sf: _binary(spark, sf, True)
 QUERIES["boosted_multiclass"] = lambda spark, sf: supervised.train_multiclass(
-    data.published(spark, sf), _model_columns(spark, sf), boosted=True, rounds=5
+    data.published(spark, sf), _model_columns(spark, sf), boosted=True
 ).metrics
 QUERIES["feature_importance"] = lambda spark, sf: supervised.feature_importance(
     supervised.train_multiclass(data.published(spark, sf), _model_columns(spark, sf))
