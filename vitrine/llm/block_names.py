@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..stages import stage
-from .common import SPACES, same, text_or_empty, without
+from .common import SPACES, kept_rows, one_of_repeats, same, text_or_empty, without
 
 BLOCK_BYTES = 4096
 _NO_RIGHT = -(2**63)  # right half of a pair whose left block has no neighbour
@@ -139,9 +139,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns as they are."""
-    keep = exact_dedup(docs, id_col, text_col, **options).filter("kept")
-    keep = stage(keep.select(F.col(id_col).alias("_k_id"), F.col("n_points").alias("_k_points"), F.col("text_sha256").alias("_k_sha")), "kept")
-    marked = docs.withColumns({"_d_sha": F.sha2(squeezed(text_col).cast("binary"), 256), "_d_points": F.char_length(text_or_empty(text_col))})
-    found = marked.join(keep, same(marked, keep, [(id_col, "_k_id"), ("_d_sha", "_k_sha"), ("_d_points", "_k_points")]), "left_semi")
-    # Rows that agree in id and text are repeats of one row.
-    return found.dropDuplicates([id_col, "_d_sha", "_d_points"]).select(*docs.columns)
+    rows = stage(exact_dedup(docs, id_col, text_col, **options).select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), F.col("n_points").alias("points"), "kept"), "decided")
+    keep = rows.filter("kept").drop("kept")
+    keys = {"id": F.col(id_col), "sha": F.sha2(squeezed(text_col).cast("binary"), 256), "points": F.char_length(text_or_empty(text_col))}
+    # Rows that agree in id, text and length are repeats of one row, of which one stays.
+    repeated = not rows.groupBy(*keys).count().filter("count > 1").isEmpty()
+    return one_of_repeats(kept_rows(docs, keep, keys), list(keys), repeated)

@@ -34,3 +34,18 @@ def same(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Col
     for a, b in pairs:
         condition = condition & left[a].eqNullSafe(right[b])
     return condition
+
+
+def kept_rows(docs: DataFrame, keep: DataFrame, keys: dict[str, Column], how: str = "left_semi") -> DataFrame:
+    """(row, keys...): the rows of ``docs`` whose ``keys`` are in ``keep``, a table of columns of these names, or not in it with left_anti.
+
+    Every row travels whole as one struct, so no name of its columns can clash with the work's own.
+    """
+    marked = docs.select(F.struct("*").alias("row"), *[c.alias(k) for k, c in keys.items()])
+    wanted = keep.select(*[F.col(k).alias(f"kept_{k}") for k in keys])
+    return marked.join(wanted, same(marked, wanted, [(k, f"kept_{k}") for k in keys]), how)
+
+
+def one_of_repeats(rows: DataFrame, keys: list[str], repeated: bool) -> DataFrame:
+    """The rows of ``kept_rows`` as they were, one of those with equal keys; texts are shuffled only if there are repeats."""
+    return (rows.dropDuplicates(keys) if repeated else rows).select("row.*")

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..stages import stage
@@ -27,9 +27,12 @@ from .common import same, text_or_empty
 ROUNDS = 12
 #: Drawing rakes until a round moves no margin by more than TOLERANCE, in MOST_ROUNDS at most.
 TOLERANCE, MOST_ROUNDS = 0.001, 60
+#: So many rounds are one job.
+ROUNDS_A_STAGE = 4
 #: Shares of a margin are the observed ones to this power: 1 keeps them, 0 makes them equal.
 TEMPERATURE = 0.5
 MARGINS = ["source", "lang", "topic"]
+KEYS = [*(f"key_{m}" for m in MARGINS), "n_tokens"]
 
 #: Topic of a text for tables that have none: the first pattern it contains.
 TOPIC_SQL = """CASE WHEN coalesce(text, '') LIKE '%Licen%' THEN 'licence' WHEN coalesce(text, '') LIKE '%@%' THEN 'contact'
@@ -58,24 +61,28 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     in any margin, so all margins are then within about twice of it; a warning names what is left if
     ``rounds`` do not get there, as with targets that the cells cannot meet together.
     """
+    names = cells.columns
     cells = stage(cells, "cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    wanted = {}
+    goals = cells
     for margin, target in targets.items():
         present = cells.filter("tokens > 0").select(F.col(margin).alias("v")).distinct()
         found = target.join(present, target["value"].eqNullSafe(present["v"]), "left_semi")
         whole = found.agg(F.sum("share")).first()[0]
-        wanted[margin] = stage(found.select("value", (total * F.col("share") / F.lit(whole)).alias("wanted")), "target")
-    fitted, moved = cells.withColumn("weight", F.lit(1.0)), None
-    for _ in range(rounds):
+        wanted = found.select("value", (total * F.col("share") / F.lit(whole)).alias(f"wanted_{margin}"))
+        goals = goals.join(wanted, goals[margin].eqNullSafe(wanted["value"]), "left").drop("value")
+    fitted, moved = stage(goals.withColumn("weight", F.lit(1.0)), "cells"), None
+    for done in range(1, rounds + 1):
         fitted = fitted.withColumn("moved", F.lit(0.0))
-        for margin, target in wanted.items():
-            have = fitted.groupBy(F.col(margin).alias("h")).agg(F.sum(F.col("tokens") * F.col("weight")).alias("have"))
-            factor = have.join(target, have["h"].eqNullSafe(target["value"]), "left")
-            factor = factor.select("h", F.when(F.col("have") > 0, F.coalesce("wanted", F.lit(0.0)) / F.col("have")).otherwise(1.0).alias("factor"))
+        for margin in targets:
+            # Sums of one table by window: nothing is joined or sent around in a round.
+            have = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(margin))
+            fitted = fitted.withColumn("have", have)
+            fitted = fitted.withColumn("factor", F.when(F.col("have") > 0, F.coalesce(f"wanted_{margin}", F.lit(0.0)) / F.col("have")).otherwise(1.0))
             change = F.when((F.col("tokens") > 0) & (F.col("weight") > 0), F.abs(F.col("factor") - 1)).otherwise(0.0)
-            step = {"weight": F.col("weight") * F.col("factor"), "moved": F.greatest("moved", change)}
-            fitted = fitted.join(factor, fitted[margin].eqNullSafe(factor["h"])).withColumns(step).select(*cells.columns, "weight", "moved")
+            fitted = fitted.withColumns({"weight": F.col("weight") * F.col("factor"), "moved": F.greatest("moved", change)}).drop("have", "factor")
+        if done % ROUNDS_A_STAGE and done < rounds:
+            continue
         fitted = stage(fitted, "raked")
         if tolerance is not None:
             moved = fitted.agg(F.max("moved")).first()[0] or 0.0
@@ -83,7 +90,7 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
                 break
     if tolerance is not None and moved is not None and moved > tolerance:
         warnings.warn(f"raking: after {rounds} rounds a margin is still moved by {moved:.2g} (tolerance {tolerance:.2g})", stacklevel=2)
-    return fitted.select(*cells.columns, "weight")
+    return fitted.select(*names, "weight")
 
 
 def uniform(identifier: Column) -> Column:
@@ -121,13 +128,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: di
     return joined.select(id_col, *MARGINS, "n_tokens", "weight", copies.alias("copies"))
 
 
-def _weighted(docs: DataFrame, targets: dict[str, DataFrame] | None, rounds: int, tolerance: float | None, columns: dict) -> DataFrame:
-    """``docs`` with the weight of their cell as _c_weight."""
-    marks = labelled(docs, **columns)
-    weights = cell_weights(docs.select(*marks), targets, rounds, tolerance)
-    renamed = weights.select(*[F.col(m).alias(f"_c_{m}") for m in MARGINS], F.col("weight").alias("_c_weight"))
-    marked = docs.withColumns({f"_d_{m}": c for m, c in zip(MARGINS, marks[:3], strict=True)})
-    return marked.join(renamed, same(marked, renamed, [(f"_d_{m}", f"_c_{m}") for m in MARGINS])).select(*docs.columns, "_c_weight")
+def _weighted(docs: DataFrame, id_col: str, targets: dict[str, DataFrame] | None, rounds: int, tolerance: float | None, columns: dict) -> DataFrame:
+    """(row, id, weight): the rows of ``docs``, each whole as a struct, with the weight of their cell."""
+    marks = [c.alias(n) for n, c in zip(KEYS, labelled(docs, **columns), strict=True)]
+    weights = cell_weights(docs.select(*marks).toDF(*MARGINS, "n_tokens"), targets, rounds, tolerance)
+    renamed = weights.select(*[F.col(m).alias(f"cell_{m}") for m in MARGINS], "weight")
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), *marks[:3])
+    return marked.join(renamed, same(marked, renamed, [(f"key_{m}", f"cell_{m}") for m in MARGINS])).select("row", "id", "weight")
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, **columns) -> DataFrame:
@@ -135,8 +142,8 @@ def sample(docs: DataFrame, id_col: str = "doc_id", share: float = 1.0, targets:
 
     A weight above 1 is worth one copy here, so margins of rare cells fall short of their targets: ``draw`` meets them.
     """
-    joined = _weighted(docs, targets, rounds, None, columns)
-    return joined.filter(share * F.col("_c_weight") + uniform(F.col(id_col)) >= 1).select(*docs.columns)
+    joined = _weighted(docs, id_col, targets, rounds, None, columns)
+    return joined.filter(share * F.col("weight") + uniform(F.col("id")) >= 1).select("row.*")
 
 
 def draw(
@@ -147,16 +154,16 @@ def draw(
     The expected tokens of every margin have their target shares and add up to ``share`` of all tokens.
     With ``no_more_rows`` the share is lowered, for all cells alike, until there are no more rows than in ``docs``.
     """
-    joined = _weighted(docs, targets, rounds, tolerance, columns)
+    joined = _weighted(docs, id_col, targets, rounds, tolerance, columns)
     if no_more_rows:
-        drawn = stage(joined.select(F.col("_c_weight").alias("w"), uniform(F.col(id_col)).alias("u")), "weights")
+        drawn = stage(joined.select(F.col("weight").alias("w"), uniform(F.col("id")).alias("u")), "weights")
         while True:
             rows, copies = drawn.agg(F.count("*"), F.sum(F.floor(share * F.col("w") + F.col("u")))).first()
             if (copies or 0) <= rows:
                 break
             share *= 0.999 * rows / copies
-    copies = F.floor(share * F.col("_c_weight") + uniform(F.col(id_col))).cast("int")
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    copies = F.floor(share * F.col("weight") + uniform(F.col("id"))).cast("int")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("row.*")
 
 
 def oracle_steps(source: str = "documents", rounds: int = ROUNDS, temperature: float = TEMPERATURE) -> list[str]:

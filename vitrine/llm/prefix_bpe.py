@@ -199,16 +199,17 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None = No
     """The columns ``keep``, n_tokens and ids (array of int) of every row's whole text."""
     ship_package(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
-    source = docs.select(*keep, text_or_empty(text_col).alias("_text"))
+    source = docs.select(*keep, text_or_empty(text_col))
+    kept = len(keep)  # columns go by their place, so that names may repeat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
         for batch in batches:
-            packed = [coder.encode(t) for t in batch.column("_text").to_pylist()]
+            packed = [coder.encode(t) for t in batch.column(kept).to_pylist()]
             counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
             values = pa.array(np.frombuffer(b"".join(packed), dtype="<i4"))
             ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(counts), ids], names=[*keep, "n_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(counts), ids], names=[*keep, "n_tokens", "ids"])
 
     return source.mapInArrow(run, source.select(*keep, F.lit(0).cast("long").alias("n_tokens"), F.array().cast("array<int>").alias("ids")).schema)
 

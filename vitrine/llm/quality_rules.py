@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..stages import stage
-from .common import SPACES, let, same, text_or_empty, without
+from .common import SPACES, kept_rows, let, text_or_empty, without
 
 WINDOW_WORDS = 8
 SYMBOLS = "#*$%&|<>"
@@ -167,9 +167,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that are kept, all their columns as they are."""
     kept = judge(docs, id_col, text_col, **options).filter("kept")
-    kept = kept.select(F.col(id_col).alias("_k_id"), F.col("text_hash").alias("_k_text")).distinct()
-    marked = docs.withColumn("_d_text", F.xxhash64(text_or_empty(text_col)))
-    return marked.join(kept, same(marked, kept, [(id_col, "_k_id"), ("_d_text", "_k_text")]), "left_semi").select(*docs.columns)
+    kept = kept.select(F.col(id_col).alias("id"), "text_hash").distinct()
+    keys = {"id": F.col(id_col), "text_hash": F.xxhash64(text_or_empty(text_col))}
+    return kept_rows(docs, kept, keys).select("row.*")
 
 
 def oracle(source: str = "documents", rounds: int = ROUNDS) -> str:

@@ -10,8 +10,7 @@ such pairs together, and fingerprints are compared per anchor only.
 
 With 64 bits and a threshold of 4 one of the two blocks differs in 2 bits at most: nothing is
 missed. With more lanes and a wider threshold the search is a filter: a pair is found if one of
-its blocks differs in at most 2 bits. Near copies by the similarity of their shingles are found
-without fingerprints in ``shingle_join``.
+its blocks differs in at most 2 bits.
 
 Anchors with more fingerprints than ``UNIT`` are compared in units, one for each pair of slices of
 the anchor's fingerprints, so no task holds a whole hot anchor; all pairs are still compared. A
@@ -26,7 +25,7 @@ result; further columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +36,31 @@ from pyspark.sql import types as T
 from ..operators.graph import connected_components
 from ..stages import stage
 from ..workers import ship_package
-from .common import text_or_empty
-from .shingle_join import SHINGLE_WORDS, one_of_each, shingle_digests  # noqa: F401
+from .common import kept_rows, one_of_repeats, text_or_empty
 
+SHINGLE_WORDS = 4
+THRESHOLD = 4
+SEED = 42
 UNIT = 2048
 RADIUS = 2
 _CHUNK = 255 * 256  # shingles counted at a time: memory stays bounded for very long texts
 
 
+def shingle_digests(text: bytes, words: int) -> bytes:
+    """Big-endian XXH64 digests of all word shingles, one after the other."""
+    import xxhash
+
+    tokens = text.lower().split()  # bytes: lower-cases A-Z only, splits at ASCII white space
+    if not tokens:
+        return b""
+    joined = b" ".join(tokens)
+    if len(tokens) <= words:
+        return xxhash.xxh64_digest(joined, seed=SEED)
+    ends = list(accumulate(map(len, tokens), lambda at, n: at + 1 + n))
+    starts = [0] + [e + 1 for e in ends[:-words]]
+    return b"".join([xxhash.xxh64_digest(joined[a:b], seed=SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)])
+
+
 def lane(hashes: np.ndarray, number: int) -> np.ndarray:
     """Another 64 bits of each hash: lane 0 is the hash, the others are mixed from it."""
     if number == 0:
@@ -225,7 +241,7 @@ def near_links(nodes: DataFrame, lanes: int, threshold: int, unit: int = UNIT) -
 
 
 def components(
-    docs: DataFrame, words: int = SHINGLE_WORDS, lanes: int = 1, threshold: int = 4, id_col: str = "doc_id", text_col: str = "text", unit: int = UNIT
+    docs: DataFrame, words: int = SHINGLE_WORDS, lanes: int = 1, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", unit: int = UNIT
 ) -> DataFrame:
     """One row per input row: id, text_hash, f0.., node and component_id, the smallest id reachable over links."""
     names = [f"f{n}" for n in range(lanes)]
@@ -237,3 +253,16 @@ def components(
     named = stage(nodes.join(reached, nodes["node"] == reached["r_node"]).drop("r_node"), "reached")
     smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return rows.join(named.join(smallest, "component").select(*names, "node", "component", "component_id"), names)
+
+
+def one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id, all its columns as they are.
+
+    Of several texts under this id the one with the smallest hash stays; a component without ids keeps one row.
+    """
+    found = components(docs, words, 1, threshold, id_col, text_col, **options).select("id", "text_hash", "component", "component_id")
+    rows = stage(found, "decided")
+    keep = rows.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component").agg(F.min("id").alias("id"), F.min("text_hash").alias("text_hash"))
+    keys = {"id": F.col(id_col), "text_hash": F.xxhash64(text_or_empty(text_col))}
+    repeated = not rows.groupBy(*keys).count().filter("count > 1").isEmpty()
+    return one_of_repeats(kept_rows(docs, keep, keys), list(keys), repeated)
