@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import block_names, mixing, prefix_bpe, quality_rules, shingle_join
+from vitrine.llm import block_names, mixing, prefix_bpe, quality_rules, simhash
 from vitrine.llm.queries import byte_vocabulary
 from vitrine.stages import stage
 
 #: No SQL: fingerprints and token ids are computed in Python. tests/llm/test_pipeline.py compares
-#: every stage with a brute-force version.
+#: what each stage returns with a plain version of it over the stage's own input.
 ORACLE_SQL = None
 
 
@@ -29,8 +29,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
-    return shingle_join.one_of_each(docs)
+    """One document, that of the smallest id, of each group that SimHash links: four-word shingles, 4 bits at most."""
+    return simhash.one_of_each(docs, words=4, threshold=4)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
