@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import block_names, compression_quality, mixing, prefix_bpe, quality_rules, simhash, suffix_repeats, toxicity, url_templates, warc_zstd
+from . import (
+    block_names,
+    compression_quality,
+    importance_resampling,
+    mixing,
+    prefix_bpe,
+    prefix_trie,
+    quality_rules,
+    simhash,
+    suffix_repeats,
+    superkmer_dedup,
+    toxicity,
+    url_templates,
+    warc_zstd,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +79,19 @@ def op10_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_time_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = importance_resampling.weigh(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_interval_tree": op1_interval_tree,
     "op2_path_templates": op2_path_templates,
@@ -76,6 +103,9 @@ QUERIES = {
     "op8_anchor_simhash": op8_anchor_simhash,
     "op9_compression": op9_compression,
     "op10_zstd_warc": op10_zstd_warc,
+    "op11_super_kmers": op11_super_kmers,
+    "op12_time_forward": op12_time_forward,
+    "op13_bit_sliced": op13_bit_sliced,
 }
 
 ORACLES = {
@@ -88,6 +118,8 @@ ORACLES = {
         FROM g
     """,
     "op2_path_templates": url_templates.oracle(),
+    "op11_super_kmers": superkmer_dedup.oracle(),
+    "op12_time_forward": prefix_trie.oracle(),
     "op5_raking": mixing.oracle(),
     "op7_weak_rules": quality_rules.oracle(),
     "op3_block_naming": r"""
