@@ -30,7 +30,7 @@ def turns(spark):
     return spark.createDataFrame([(*r, "clash", "clash", 1, "clash", "clash") for r in awkward_turns()], SCHEMA).repartition(3).cache()
 
 
-@pytest.mark.parametrize("shard_rows, queue", [(50_000, 100_000), (30, 2), (0, 1)])
+@pytest.mark.parametrize("shard_rows, queue", [(1_000, 100_000), (30, 2), (0, 1)])
 def test_trie_equals_sql(turns, shard_rows, queue):
     found = prefix_trie.trie(turns, shard_rows=shard_rows, queue=queue)
     want = oracle(prefix_trie.oracle(), conversations=turns.select("conv_id", "turn", "role", "text").toArrow())

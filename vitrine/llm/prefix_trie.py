@@ -45,7 +45,7 @@ from .mixing import token_count
 GROUP = 20
 ROOT = bytes(16)
 #: Rows below a shard's root at most, unless the table is so large that there would be more than MOST_TOP nodes of a level above.
-SHARD_ROWS, MOST_TOP = 50_000, 2_000
+SHARD_ROWS, MOST_TOP = 1_000, 2_000
 #: Messages that a queue holds before it spills.
 QUEUE = 100_000
 _PIECE_IDS = 2_000

@@ -11,8 +11,9 @@ fours, eights and so on, never hashes) and sorted by name, the least document fi
    an eighth full below that; what it does not show stays where it is. The map only saves traffic: when
    it fills up with the corpus more strings travel and the result is the same.
 3. Buckets of more than ``HOT`` windows are not packed: their windows go one by one, keyed by their
-   words. The least document of each is found with partial aggregation and joined back as a table of
-   its own, so a line that a third of the documents share is never one task's work.
+   words. The least document of each is found with partial aggregation and sent to all slices of its
+   window's rows, the more the larger the bucket, so a line that a third of the documents share is
+   never one task's work.
 4. Covered words are merged by document and cut out of it.
 
 A word is removed if a window over it also starts in a document with a smaller id, judged on the input.
@@ -43,6 +44,8 @@ from .common import same, text_or_empty
 WINDOW_WORDS = 13
 MINIMISER_WORDS = 5
 HOT = 4096
+#: Windows of buckets 16, 256, ... times as large as HOT go to 16, 256, ... slices.
+SPREAD = 16
 MOST_BITS = 1 << 28
 #: Windows that one packed string holds at most.
 MOST_WINDOWS = 64
@@ -267,6 +270,21 @@ def _buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         yield _spans_of_buckets(pa.Table.from_batches(held), window)
 
 
+def _after_least(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Covered words of windows that come sorted by words and slice, each slice after the row (first -1) with the least id."""
+    words, least = None, None
+    for batch in batches:
+        hit = []
+        for at, (of, id_, first) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("words", "id", "first")], strict=True)):
+            if first < 0:
+                words, least = of, id_
+            elif of == words and (id_ is None or id_ > least):
+                hit.append(at)
+        found = batch.take(pa.array(hit, pa.int64()))
+        first = found.column("first").to_numpy()
+        yield pa.RecordBatch.from_arrays([found.column("id"), found.column("key"), pa.array(first), pa.array(first + window)], names=["id", "key", "first", "end"])
+
+
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, minimiser: int = MINIMISER_WORDS, hot: int = HOT, most_bits: int = MOST_BITS) -> DataFrame:
     """Stage table (id, key, spans): words of each row that windows of smaller ids cover, as an array first, end, first, end, ..."""
     spark = docs.sparkSession
@@ -274,15 +292,17 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     source = docs.select(*_identity(id_col, text_col))
     counts = bucket_counts(source, window, minimiser)
     shown = spark.sparkContext.broadcast(bucket_map(counts, most_bits))
-    crowded = counts.filter(F.col("windows") > hot)
-    crowded_map = spark.sparkContext.broadcast(bucket_map(crowded, most_bits))
-    any_hot = not crowded.isEmpty()
+    # Maps of the hot buckets, and of those SPREAD, SPREAD^2, ... times as large.
+    levels, most = [], counts.agg(F.max("windows")).first()[0] or 0
+    while most > hot * SPREAD ** len(levels):
+        levels.append(spark.sparkContext.broadcast(bucket_map(counts.filter(F.col("windows") > hot * SPREAD ** len(levels)), most_bits)))
+    any_hot = bool(levels)
     key, value = source.schema["key"], T.StructField("id", source.schema["id"].dataType)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, numbers, runs in _runs(batch, window, minimiser):
-                at = np.flatnonzero(_shown(shown.value, runs.bucket) & ~_shown(crowded_map.value, runs.bucket))
+                at = np.flatnonzero(_shown(shown.value, runs.bucket) & ~(any_hot and _shown(levels[0].value, runs.bucket)))
                 if len(at):
                     of = pa.array(rows[runs.text[at]])
                     first = pa.array(numbers[runs.text[at]] + runs.first[at])
@@ -299,22 +319,25 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for rows, numbers, runs in _runs(batch, window, minimiser):
-                    at = np.flatnonzero(_shown(crowded_map.value, runs.bucket))
+                    level = sum(_shown(m.value, runs.bucket).astype(np.int64) for m in levels)
+                    at = np.flatnonzero(level)
                     if not len(at):
                         continue
-                    words = [p.split(b" ") for p in runs.packed(at)]
-                    of = pa.array(rows[np.repeat(runs.text[at], runs.windows[at])])
-                    first = np.repeat(numbers[runs.text[at]] + runs.first[at], runs.windows[at]) + np.concatenate([np.arange(n) for n in runs.windows[at]])
-                    texts = [b" ".join(w[k : k + window]) for w, n in zip(words, runs.windows[at].tolist(), strict=True) for k in range(n)]
-                    yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column(0).take(of), batch.column(1).take(of), pa.array(first)], names=["words", "id", "key", "first"])
-
-        windows = T.StructType([T.StructField("words", T.BinaryType()), value, key, T.StructField("first", T.LongType())])
+                    words, counts = [p.split(b" ") for p in runs.packed(at)], runs.windows[at]
+                    row = rows[np.repeat(runs.text[at], counts)]
+                    first = np.repeat(numbers[runs.text[at]] + runs.first[at], counts) + np.concatenate([np.arange(n) for n in counts])
+                    texts = [b" ".join(w[k : k + window]) for w, n in zip(words, counts.tolist(), strict=True) for k in range(n)]
+                    slices = np.repeat(SPREAD ** (level[at] - 1), counts)
+                    columns = [pa.array(texts, pa.binary()), pa.array(slices), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(first)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["words", "slices", "id", "key", "first"])
+
+        windows = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("slices", T.LongType()), value, key, T.StructField("first", T.LongType())])
         rows = stage(source.mapInArrow(single, windows), "hot-windows")
-        order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"))
-        least = rows.groupBy("words").agg(F.min(order).alias("least"), F.max(order).alias("most")).filter("least < most")
-        least = stage(least.select(F.col("words").alias("of"), "least"), "hot-least")
-        again = rows.join(least, rows["words"] == least["of"]).filter(order > F.col("least"))
-        spans = spans.unionAll(again.select("id", "key", "first", (F.col("first") + window).alias("end")))
+        least = rows.groupBy("words").agg(F.min("id").alias("id"), F.max("slices").alias("slices"), F.count("*").alias("n")).filter("n > 1 AND id IS NOT NULL")
+        least = least.select("words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "id", F.lit(None).cast("long").alias("key"), F.lit(-1).cast("long").alias("first"))
+        dealt = rows.select("words", F.pmod(F.xxhash64("key", "first"), "slices").alias("slice"), "id", "key", "first").unionAll(least)
+        dealt = dealt.repartition("words", "slice").sortWithinPartitions("words", "slice", "first")
+        spans = spans.unionAll(dealt.mapInArrow(lambda b: _after_least(b, window), spans_schema))
     pairs = spans.distinct().groupBy("id", "key").agg(F.flatten(F.collect_list(F.array("first", "end"))).alias("spans"))
     return stage(pairs, "covered")
 
