@@ -10,10 +10,10 @@ fours, eights and so on, never hashes) and sorted by name, the least document fi
 2. A minimiser met once holds no repeat. The others mark a bit map, at most ``MOST_BITS`` large and a bit
    an eighth full below that; what it does not show stays where it is. The map only saves traffic: when
    it fills up with the corpus more strings travel and the result is the same.
-3. Buckets of more than ``HOT`` windows are not packed: their windows go one by one, keyed by their
-   words. The least document of each is found with partial aggregation and sent to all slices of its
-   window's rows, the more the larger the bucket, so a line that a third of the documents share is
-   never one task's work.
+3. In buckets of more than ``HOT`` windows equal strings are first made one, with their least document,
+   by partial aggregation; the windows of the different strings are then keyed by their words. What a
+   string is told (its least document, and where others are earlier) is sent to all slices of its rows,
+   the more the larger the bucket, so a line that a third of the documents share is never one task's work.
 4. Covered words are merged by document and cut out of it.
 
 A word is removed if a window over it also starts in a document with a smaller id, judged on the input.
@@ -44,8 +44,8 @@ from .common import same, text_or_empty
 WINDOW_WORDS = 13
 MINIMISER_WORDS = 5
 HOT = 4096
-#: Windows of buckets 16, 256, ... times as large as HOT go to 16, 256, ... slices.
-SPREAD = 16
+#: The rows of buckets 2, 4, 8, ... times as large as HOT go to 2, 4, 8, ... slices.
+SPREAD = 2
 MOST_BITS = 1 << 28
 #: Windows that one packed string holds at most.
 MOST_WINDOWS = 64
@@ -270,19 +270,58 @@ def _buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         yield _spans_of_buckets(pa.Table.from_batches(held), window)
 
 
-def _after_least(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Covered words of windows that come sorted by words and slice, each slice after the row (first -1) with the least id."""
-    words, least = None, None
+def _hot_spans(rows: DataFrame, window: int, schema: T.StructType) -> DataFrame:
+    """Covered words (id, key, first, end) of the hot buckets' strings (packed, slices, id, key, first).
+
+    Equal strings are one; their windows are keyed by their words, and what a string finds out (its least
+    id, and the least ids of windows that other strings have from smaller ids) goes to its rows' slices.
+    """
+    value = schema["id"]
+    alike = rows.groupBy("packed").agg(F.min("id").alias("least"), F.max("slices").alias("slices"), F.count("*").alias("n"))
+    alike = stage(alike.withColumn("name", F.monotonically_increasing_id()), "hot-alike")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [p.split(b" ") for p in batch.column(0).to_pylist()]
+            counts = np.array([len(w) - window + 1 for w in words], dtype=np.int64)
+            of = pa.array(np.repeat(np.arange(len(words)), counts))
+            texts = [b" ".join(w[k : k + window]) for w in words for k in range(len(w) - window + 1)]
+            places = np.concatenate([np.arange(n) for n in counts]) if len(counts) else counts
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), batch.column(1).take(of), pa.array(places), batch.column(2).take(of)], names=["words", "name", "place", "least"])
+
+    fields = [T.StructField("words", T.BinaryType()), T.StructField("name", T.LongType()), T.StructField("place", T.LongType()), T.StructField("least", value.dataType)]
+    single = stage(alike.select("packed", "name", "least").mapInArrow(windows, T.StructType(fields)), "hot-windows")
+    first = single.groupBy("words").agg(F.min("least").alias("before"), F.count("*").alias("n")).filter("n > 1 AND before IS NOT NULL")
+    first = stage(first.select(F.col("words").alias("of"), "before"), "hot-least")
+    earlier = single.join(first, single["words"] == first["of"]).filter("least IS NULL OR before < least")
+    earlier = earlier.groupBy("name").agg(F.collect_list("place").alias("places"))  # as many as a string has windows at most
+
+    # Rows of all slices come after the row (first -1) that tells them about their string.
+    told = alike.join(earlier, "name", "left").filter("n > 1 OR places IS NOT NULL")
+    told = told.select("packed", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.col("least").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(-1).cast("long").alias("first"), "places")
+    every = rows.select("packed", F.pmod(F.xxhash64("key", "first"), "slices").alias("slice"), "id", "key", "first", F.lit(None).cast("array<long>").alias("places"))
+    dealt = every.unionAll(told).repartition("packed", "slice").sortWithinPartitions("packed", "slice", "first")
+    return dealt.mapInArrow(lambda b: _told_spans(b, window), schema)
+
+
+def _told_spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Strings of later ids than the least are covered whole; those of the least id where other strings are earlier."""
+    packed, least, places, length = None, None, None, 0
     for batch in batches:
-        hit = []
-        for at, (of, id_, first) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("words", "id", "first")], strict=True)):
+        hits: list[tuple] = []
+        for at, (of, id_, first, found) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("packed", "id", "first", "places")], strict=True)):
             if first < 0:
-                words, least = of, id_
-            elif of == words and (id_ is None or id_ > least):
-                hit.append(at)
-        found = batch.take(pa.array(hit, pa.int64()))
-        first = found.column("first").to_numpy()
-        yield pa.RecordBatch.from_arrays([found.column("id"), found.column("key"), pa.array(first), pa.array(first + window)], names=["id", "key", "first", "end"])
+                packed, least, places, length = of, id_, sorted(found or ()), of.count(b" ") + 1
+            elif of != packed:
+                continue
+            elif least is not None and (id_ is None or id_ > least):
+                hits.append((at, first, first + length))
+            else:
+                hits += [(at, first + p, first + p + window) for p in places]
+        taken = batch.take(pa.array([h[0] for h in hits], pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [taken.column("id"), taken.column("key"), pa.array([h[1] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int64())], names=["id", "key", "first", "end"]
+        )
 
 
 def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS, minimiser: int = MINIMISER_WORDS, hot: int = HOT, most_bits: int = MOST_BITS) -> DataFrame:
@@ -321,23 +360,14 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 for rows, numbers, runs in _runs(batch, window, minimiser):
                     level = sum(_shown(m.value, runs.bucket).astype(np.int64) for m in levels)
                     at = np.flatnonzero(level)
-                    if not len(at):
-                        continue
-                    words, counts = [p.split(b" ") for p in runs.packed(at)], runs.windows[at]
-                    row = rows[np.repeat(runs.text[at], counts)]
-                    first = np.repeat(numbers[runs.text[at]] + runs.first[at], counts) + np.concatenate([np.arange(n) for n in counts])
-                    texts = [b" ".join(w[k : k + window]) for w, n in zip(words, counts.tolist(), strict=True) for k in range(n)]
-                    slices = np.repeat(SPREAD ** (level[at] - 1), counts)
-                    columns = [pa.array(texts, pa.binary()), pa.array(slices), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(first)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["words", "slices", "id", "key", "first"])
-
-        windows = T.StructType([T.StructField("words", T.BinaryType()), T.StructField("slices", T.LongType()), value, key, T.StructField("first", T.LongType())])
-        rows = stage(source.mapInArrow(single, windows), "hot-windows")
-        least = rows.groupBy("words").agg(F.min("id").alias("id"), F.max("slices").alias("slices"), F.count("*").alias("n")).filter("n > 1 AND id IS NOT NULL")
-        least = least.select("words", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), "id", F.lit(None).cast("long").alias("key"), F.lit(-1).cast("long").alias("first"))
-        dealt = rows.select("words", F.pmod(F.xxhash64("key", "first"), "slices").alias("slice"), "id", "key", "first").unionAll(least)
-        dealt = dealt.repartition("words", "slice").sortWithinPartitions("words", "slice", "first")
-        spans = spans.unionAll(dealt.mapInArrow(lambda b: _after_least(b, window), spans_schema))
+                    if len(at):
+                        of, first = pa.array(rows[runs.text[at]]), pa.array(numbers[runs.text[at]] + runs.first[at])
+                        columns = [pa.array(runs.packed(at), pa.binary()), pa.array(SPREAD ** (level[at] - 1)), batch.column(0).take(of), batch.column(1).take(of), first]
+                        yield pa.RecordBatch.from_arrays(columns, names=["packed", "slices", "id", "key", "first"])
+
+        strings = T.StructType([T.StructField("packed", T.BinaryType()), T.StructField("slices", T.LongType()), value, key, T.StructField("first", T.LongType())])
+        rows = stage(source.mapInArrow(single, strings), "hot-strings")
+        spans = spans.unionAll(_hot_spans(rows, window, spans_schema))
     pairs = spans.distinct().groupBy("id", "key").agg(F.flatten(F.collect_list(F.array("first", "end"))).alias("spans"))
     return stage(pairs, "covered")
 
