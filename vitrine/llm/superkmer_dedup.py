@@ -10,10 +10,10 @@ fours, eights and so on, never hashes) and sorted by name, the least document fi
 2. A minimiser met once holds no repeat. The others mark a bit map, at most ``MOST_BITS`` large and a bit
    an eighth full below that; what it does not show stays where it is. The map only saves traffic: when
    it fills up with the corpus more strings travel and the result is the same.
-3. In buckets of more than ``HOT`` windows equal strings are first made one, with their least document,
+3. In hot buckets equal strings are first made one, with their least document,
    by partial aggregation; the windows of the different strings are then keyed by their words. What a
-   string is told (its least document, and where others are earlier) is sent to all slices of its rows,
-   the more the larger the bucket, so a line that a third of the documents share is never one task's work.
+   string is told (its least document, and where others are earlier) is sent to the slices of its rows,
+   which are the more the larger the bucket, so a line that a third of the documents share is never one task's work.
 4. Covered words are merged by document and cut out of it.
 
 A word is removed if a window over it also starts in a document with a smaller id, judged on the input.
@@ -43,9 +43,11 @@ from .common import same, text_or_empty
 
 WINDOW_WORDS = 13
 MINIMISER_WORDS = 5
-HOT = 4096
-#: The rows of buckets 2, 4, 8, ... times as large as HOT go to 2, 4, 8, ... slices.
-SPREAD = 2
+#: A bucket is hot if it holds more than HOT windows and than one in HOT_SHARE of all, so the same share of the
+#: input is hot at every size; and always above MOST_HOT, which a task holds in memory.
+HOT, HOT_SHARE, MOST_HOT = 4096, 2000, 1 << 18
+#: The rows of hot buckets go to SLICES slices, and to 2, 4, 8, ... times as many where they are 2, 4, 8, ... times as large.
+SPREAD, SLICES = 2, 4
 MOST_BITS = 1 << 28
 #: Windows that one packed string holds at most.
 MOST_WINDOWS = 64
@@ -277,7 +279,8 @@ def _hot_spans(rows: DataFrame, window: int, schema: T.StructType) -> DataFrame:
     id, and the least ids of windows that other strings have from smaller ids) goes to its rows' slices.
     """
     value = schema["id"]
-    alike = rows.groupBy("packed").agg(F.min("id").alias("least"), F.max("slices").alias("slices"), F.count("*").alias("n"))
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("key", "first"), "slices"))
+    alike = rows.groupBy("packed").agg(F.min("id").alias("least"), F.collect_set("slice").alias("slices"), F.count("*").alias("n"))
     alike = stage(alike.withColumn("name", F.monotonically_increasing_id()), "hot-alike")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,12 +301,21 @@ def _hot_spans(rows: DataFrame, window: int, schema: T.StructType) -> DataFrame:
 
     # Rows of all slices come after the row (first -1) that tells them about their string.
     told = alike.join(earlier, "name", "left").filter("n > 1 OR places IS NOT NULL")
-    told = told.select("packed", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"), F.col("least").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(-1).cast("long").alias("first"), "places")
-    every = rows.select("packed", F.pmod(F.xxhash64("key", "first"), "slices").alias("slice"), "id", "key", "first", F.lit(None).cast("array<long>").alias("places"))
+    told = told.select("packed", F.explode("slices").alias("slice"), F.col("least").alias("id"), F.lit(None).cast("long").alias("key"), F.lit(-1).cast("long").alias("first"), "places")
+    every = rows.select("packed", "slice", "id", "key", "first", F.lit(None).cast("array<long>").alias("places"))
     dealt = every.unionAll(told).repartition("packed", "slice").sortWithinPartitions("packed", "slice", "first")
     return dealt.mapInArrow(lambda b: _told_spans(b, window), schema)
 
 
+def _merged(places: list[int], window: int) -> list[tuple[int, int]]:
+    """Words that windows at these places cover, as (first, end) of runs of consecutive places."""
+    runs: list[tuple[int, int]] = []
+    for p in places:
+        first = runs.pop()[0] if runs and runs[-1][1] == p + window - 1 else p
+        runs.append((first, p + window))
+    return runs
+
+
 def _told_spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Strings of later ids than the least are covered whole; those of the least id where other strings are earlier."""
     packed, least, places, length = None, None, None, 0
@@ -311,13 +323,13 @@ def _told_spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.R
         hits: list[tuple] = []
         for at, (of, id_, first, found) in enumerate(zip(*[batch.column(c).to_pylist() for c in ("packed", "id", "first", "places")], strict=True)):
             if first < 0:
-                packed, least, places, length = of, id_, sorted(found or ()), of.count(b" ") + 1
+                packed, least, places, length = of, id_, _merged(sorted(found or ()), window), of.count(b" ") + 1
             elif of != packed:
                 continue
             elif least is not None and (id_ is None or id_ > least):
                 hits.append((at, first, first + length))
             else:
-                hits += [(at, first + p, first + p + window) for p in places]
+                hits += [(at, first + a, first + b) for a, b in places]
         taken = batch.take(pa.array([h[0] for h in hits], pa.int64()))
         yield pa.RecordBatch.from_arrays(
             [taken.column("id"), taken.column("key"), pa.array([h[1] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int64())], names=["id", "key", "first", "end"]
@@ -332,7 +344,8 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     counts = bucket_counts(source, window, minimiser)
     shown = spark.sparkContext.broadcast(bucket_map(counts, most_bits))
     # Maps of the hot buckets, and of those SPREAD, SPREAD^2, ... times as large.
-    levels, most = [], counts.agg(F.max("windows")).first()[0] or 0
+    levels, (most, total) = [], counts.agg(F.coalesce(F.max("windows"), F.lit(0)), F.coalesce(F.sum("windows"), F.lit(0))).first()
+    hot = max(hot, min(total // HOT_SHARE, MOST_HOT))
     while most > hot * SPREAD ** len(levels):
         levels.append(spark.sparkContext.broadcast(bucket_map(counts.filter(F.col("windows") > hot * SPREAD ** len(levels)), most_bits)))
     any_hot = bool(levels)
@@ -362,7 +375,7 @@ def covered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                     at = np.flatnonzero(level)
                     if len(at):
                         of, first = pa.array(rows[runs.text[at]]), pa.array(numbers[runs.text[at]] + runs.first[at])
-                        columns = [pa.array(runs.packed(at), pa.binary()), pa.array(SPREAD ** (level[at] - 1)), batch.column(0).take(of), batch.column(1).take(of), first]
+                        columns = [pa.array(runs.packed(at), pa.binary()), pa.array(SLICES * SPREAD ** (level[at] - 1)), batch.column(0).take(of), batch.column(1).take(of), first]
                         yield pa.RecordBatch.from_arrays(columns, names=["packed", "slices", "id", "key", "first"])
 
         strings = T.StructType([T.StructField("packed", T.BinaryType()), T.StructField("slices", T.LongType()), value, key, T.StructField("first", T.LongType())])
