@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.functions import quantiles
 from vitrine.functions.ordered import range_buckets, running_totals
 from vitrine.functions.quantiles import exact_quantiles, order_pattern
 from vitrine.stages import stage
@@ -64,3 +65,31 @@ def test_quantiles_of_crowded_values(spark, kind):
     df = spark.createDataFrame([(float(v),) for v in x], "v double")
     got = {r["prob"]: r["value"] for r in exact_quantiles(df, {"v": "v"}, PROBS).collect()}
     assert [got[p] for p in PROBS] == pytest.approx(list(np.quantile(x, PROBS)), rel=1e-12)
+
+
+def _many(rng):
+    return np.concatenate([rng.normal(0, 1, 40000), np.full(20000, 0.25), [np.inf, -np.inf]])
+
+
+@pytest.mark.parametrize("path", ["window", "descent", "refuted"])
+def test_quantiles_of_large_groups_by_every_path(spark, monkeypatch, path):
+    rng = np.random.default_rng(4)
+    groups = {"a": _many(rng), "b": rng.uniform(0, 1, 30), "c": 1e6 + rng.uniform(0, 1e-3, 30000)}
+    if path == "descent":
+        monkeypatch.setattr(quantiles, "BRACKET", 5)
+    if path == "refuted":  # borders on the wrong side of the rank
+        monkeypatch.setattr(quantiles, "MARGIN", -4)
+    rows = [(g, float(v), i % 3) for g, x in groups.items() for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g string, v double, k int")
+    probs = [0.05, 0.2, 0.75]
+    got = exact_quantiles(df, {"v": "v", "odd": F.when(F.col("k") == 1, F.col("v"))}, probs, by=["g"]).collect()
+    assert len(got) == 18
+    for r in got:
+        x = groups[r["g"]] if r["measure"] == "v" else groups[r["g"]][1::3]
+        assert r["value"] == pytest.approx(float(np.quantile(x, r["prob"])), rel=1e-12)
+
+
+def test_quantiles_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert exact_quantiles(df, {"v": "v"}, [0.5], by=["g"]).collect() == []
+    assert exact_quantiles(df, {"v": "v"}, [0.5]).collect() == []
