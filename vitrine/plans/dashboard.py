@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import exact_quantiles
 from ..functions.scalars import have, np_round, ordered
 from ..operators.segment import number_or_zero
+from ..stages import stage
 
 
 def filter_catalog(
@@ -73,15 +75,12 @@ def category_top(catalog: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def price_boxes(catalog: DataFrame, quartiles: DataFrame) -> DataFrame:
-    """Box statistics of the five largest categories. ``quartiles`` comes from
-    :func:`vitrine.functions.quantiles.exact_quantiles` keyed by category."""
+def price_boxes(catalog: DataFrame) -> DataFrame:
+    """Box statistics of the five largest categories; only their prices are ranked."""
     five = category_top(catalog, 5).select("category")
-    ends = (
-        catalog.join(F.broadcast(five), "category", "left_semi")
-        .groupBy("category")
-        .agg(F.min("price").alias("low"), F.max("price").alias("high"))
-    )
+    prices = stage(catalog.select("category", "price").join(F.broadcast(five), "category", "left_semi"), "box-prices")
+    ends = prices.groupBy("category").agg(F.min("price").alias("low"), F.max("price").alias("high"))
+    quartiles = exact_quantiles(prices, {"price": "price"}, [0.25, 0.5, 0.75], by=["category"])
     wide = quartiles.groupBy("category").agg(
         *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.quantiles import exact_quantiles
 from ..functions.scalars import np_round
 from ..operators import segment
 from ..plans import arguments as args
@@ -260,10 +259,7 @@ CAST(sum(is_top_product) AS BIGINT) AS n_top, count(DISTINCT shop_name) AS n_sho
 QUERIES["category_top"] = lambda spark, sf: dashboard.category_top(pub(spark, sf))
 ORACLES["category_top"] = _sql("SELECT category, count(*) AS n_products FROM published GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 
-QUERIES["price_boxes"] = lambda spark, sf: data.rounded(
-    dashboard.price_boxes(pub(spark, sf), exact_quantiles(pub(spark, sf), {"price": "price"}, [0.25, 0.5, 0.75], by=["category"])),
-    ["q1", "median", "q3"],
-)
+QUERIES["price_boxes"] = lambda spark, sf: data.rounded(dashboard.price_boxes(pub(spark, sf)), ["q1", "median", "q3"])
 ORACLES["price_boxes"] = _sql(
     f"""SELECT category, min(price) AS low, max(price) AS high, {_r('quantile_cont(price, 0.25)', 6)} AS q1, {_r('quantile_cont(price, 0.5)', 6)} AS median,
 {_r('quantile_cont(price, 0.75)', 6)} AS q3 FROM published

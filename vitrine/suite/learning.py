@@ -38,9 +38,6 @@ def _wide_vectors(spark, sf) -> DataFrame:
     return rows.select("vec_id", "label", *[F.get("embedding", F.lit(i)).cast("double").alias(f"v{i}") for i in range(AXES)])
 
 
-AXES = 64
-
-
 def _axis_sum_sql(k: int) -> str:
     picked = f"list_filter(CAST(embedding AS DOUBLE[]), lambda x, i: (i - 1) % 3 = {k})"
     return f"list_sum({picked}) / sqrt(len({picked})) AS e{k}"
@@ -103,12 +100,72 @@ near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b, radius
 """ + _DENSITY.split("\n", 2)[2] + "SELECT vec_id, dbscan_cluster FROM final"
 
 
-def _catalog_points(spark, sf) -> DataFrame:
+# ---- density on all axes of the embeddings, and on the catalog ---------------------------------
+
+AXES = 64
+_WIDE = [f"v{i}" for i in range(AXES)]
+_WIDE_EPS = 1.18
+_X = "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+_FAR = "list_distance(a.x, b.x)"
+_WIDE_ORACLE = "WITH RECURSIVE v AS MATERIALIZED (" + _X + f"""),
+near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE {_FAR} <= {_WIDE_EPS}e0),
+""" + _DENSITY.split("\n", 2)[2]
+
+QUERIES["dbscan_wide"] = lambda spark, sf: density.dbscan(_wide_vectors(spark, sf), _WIDE, "vec_id", _WIDE_EPS, _MIN)[0].select("vec_id", "dbscan_cluster")
+ORACLES["dbscan_wide"] = _WIDE_ORACLE + "SELECT vec_id, dbscan_cluster FROM final"
+
+
+def _wide_predicted(spark, sf) -> DataFrame:
+    """Vectors shifted a little on every axis, labelled by the nearest stored core vector."""
+    vectors = _wide_vectors(spark, sf)
+    _, cores = density.dbscan(vectors, _WIDE, "vec_id", _WIDE_EPS, _MIN)
+    moved = vectors.withColumns({c: F.col(c) + 0.0125 for c in _WIDE})
+    return density.dbscan_predict(moved, _WIDE, "vec_id", cores, _WIDE_EPS).select("vec_id", "dbscan_cluster")
+
+
+QUERIES["dbscan_predict_wide"] = _wide_predicted
+ORACLES["dbscan_predict_wide"] = (
+    _WIDE_ORACLE
+    + f"""SELECT q.vec_id, CASE WHEN n.d <= {_WIDE_EPS}e0 THEN n.label ELSE -1 END AS dbscan_cluster FROM v q JOIN
+(SELECT a.vec_id AS id, min({_FAR}) AS d, arg_min(lab.label, {_FAR}) AS label
+ FROM (SELECT vec_id, list_transform(x, lambda y: y + 0.0125e0) AS x FROM v) a, v b JOIN lab ON lab.id = b.vec_id GROUP BY 1) n ON n.id = q.vec_id"""
+)
+
+_WIDE_BEND = f"""kd AS MATERIALIZED (SELECT d, row_number() OVER (ORDER BY d) - 1 AS i FROM (SELECT a.vec_id, {_FAR} AS d,
+  row_number() OVER (PARTITION BY a.vec_id ORDER BY {_FAR}) AS r FROM v a, v b) WHERE r = 5),
+""" + ORACLES["elbow_radius"].split("WHERE r = 5)),\n", 1)[1].rsplit("SELECT (SELECT count(*) FROM v)", 1)[0]
+QUERIES["elbow_radius_wide"] = lambda spark, sf: _wide_vectors(spark, sf).agg(F.count("*").alias("n_rows")).withColumn(
+    "radius", np_round(F.lit(density.elbow_radius(_wide_vectors(spark, sf), _WIDE, "vec_id")), 9)
+)
+ORACLES["elbow_radius_wide"] = f"""WITH v AS MATERIALIZED ({_X}),
+{_WIDE_BEND}SELECT (SELECT count(*) FROM v) AS n_rows, round_even(d * 1e9, 0) / 1e9 AS radius FROM kd, best
+WHERE kd.i = least(best.i + 3, (SELECT count(*) - 1 FROM kd))"""
+
+QUERIES["detect_outliers_wide"] = lambda spark, sf: density.detect_outliers(_wide_vectors(spark, sf), _WIDE, "vec_id").select("vec_id", "dbscan_cluster")
+ORACLES["detect_outliers_wide"] = f"""WITH RECURSIVE w AS MATERIALIZED (SELECT vec_id, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM ({_X})),
+m AS MATERIALIZED (SELECT i, avg(y) AS mean, stddev_pop(y) AS spread FROM w GROUP BY 1),
+v AS MATERIALIZED (SELECT vec_id, list((y - mean) / spread ORDER BY i) AS x FROM w JOIN m USING (i) GROUP BY 1),
+{_WIDE_BEND.rstrip()},
+radius AS MATERIALIZED (SELECT d AS r FROM kd, best WHERE kd.i = least(best.i + 3, (SELECT count(*) - 1 FROM kd))),
+near AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b, radius WHERE {_FAR} <= r),
+""" + _DENSITY.split("\n", 2)[2] + "SELECT vec_id, dbscan_cluster FROM final"
+
+
+def _row_number(df: DataFrame) -> DataFrame:
+    """The listing's id as one number, in the order of the listings."""
     number = F.split("id", "-")
-    order = number[0].cast("long") * (1 << 31) + number[1].cast("long")
-    return segment.zscore(data.features(spark, sf), segment.CLUSTER_FEATURES).withColumn("row_no", order)
+    return df.withColumn("row_no", number[0].cast("long") * (1 << 31) + number[1].cast("long"))
 
 
+# No SQL: all pairs of listings are too many; tests/test_density.py has a small table against plain distances.
+QUERIES["detect_outliers_catalog"] = lambda spark, sf: density.detect_outliers(
+    _row_number(data.silver(spark, sf)), ["price", "rating", "review_count"], "row_no"
+).select("id", "dbscan_cluster")
+
+
+def _catalog_points(spark, sf) -> DataFrame:
+    return _row_number(segment.zscore(data.features(spark, sf), segment.CLUSTER_FEATURES))
+
 QUERIES["dbscan_catalog"] = lambda spark, sf: density.dbscan(_catalog_points(spark, sf), data.SCALED, "row_no")[0].select("id", "dbscan_cluster")
 
 # ---- centroids, projection, isolation --------------------------------------------------------
