@@ -1,8 +1,9 @@
 """Quality by compression: which of two dictionaries helps a text more.
 
 One zstandard dictionary is trained on good and one on bad labelled texts. A text is compressed
-with both; the difference of the sizes, normalised by the text's length and by the sum of both, is
-calibrated to a probability by a logistic fit on labelled rows that neither dictionary has seen.
+with both; the difference of the sizes, normalised by the text's length and by the sum of both, is all
+that a score sees. It is calibrated to a probability by a logistic fit, piecewise linear in the two
+normalised differences, on labelled rows that neither dictionary has seen.
 
 The fit uses a bounded sample of the learning folds: ``EXAMPLES`` whole texts of at most
 ``EXAMPLE_BYTES`` bytes of each class for a dictionary (folds 1 and 2) and ``CALIBRATION`` rows for the
@@ -30,9 +31,11 @@ from .common import text_or_empty
 from .labels import fold, sample
 
 EXAMPLES, EXAMPLE_BYTES, CALIBRATION = 1500, 32_768, 6000
-DICTIONARY_BYTES = 112_640
+DICTIONARY_BYTES = 400_000
 LEVEL = 3
-FEATURES = ["by_length", "by_sizes", "ratio"]
+FEATURES = ["by_length", "by_sizes"]
+#: Bends of the calibration, in deviations from the mean.
+BENDS = (-1.5, -1.0, -0.5, 0.0, 0.5, 1.0)
 
 
 class Sizes:
@@ -49,25 +52,37 @@ class Sizes:
 
     def features(self, text: bytes) -> list[float]:
         good, bad = (len(c.compress(text)) for c in self.compressors)
-        return [(bad - good) / (len(text) + 1), (bad - good) / (good + bad), min(good, bad) / (len(text) + 16)]
+        return [(bad - good) / (len(text) + 1), (bad - good) / (good + bad)]
 
 
 def expanded(features: np.ndarray) -> np.ndarray:
-    """The features, their squares and a 1."""
-    return np.column_stack([features, features**2, np.ones(len(features))])
+    """The features, what of each lies beyond every bend, and a 1."""
+    beyond = [np.maximum(0.0, features - bend) for bend in BENDS]
+    return np.column_stack([features, *beyond, np.ones(len(features))])
 
 
-def calibrate(features: np.ndarray, good: np.ndarray, ridge: float = 1.0, steps: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean, scale, weights) of a logistic fit by Newton steps."""
+def penalised_loss(x: np.ndarray, good: np.ndarray, weights: np.ndarray, penalty: np.ndarray) -> float:
+    margin = x @ weights
+    return float((np.logaddexp(0, margin) - good * margin).sum() + (penalty * weights**2).sum() / 2)
+
+
+def calibrate(features: np.ndarray, good: np.ndarray, ridge: float = 1.0, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mean, scale, weights) of a logistic fit by Newton steps, halved until the loss falls."""
     mean, scale = features.mean(axis=0), features.std(axis=0) + 1e-9
     x = expanded(np.clip((features - mean) / scale, -8, 8))
+    penalty = np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
     weights = np.zeros(x.shape[1])
+    loss = penalised_loss(x, good, weights, penalty)
     for _ in range(steps):
         chance = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        penalty = np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
-        gradient = x.T @ (chance - good) + penalty * weights
         hessian = (x * (chance * (1 - chance))[:, None]).T @ x + np.diag(penalty)
-        weights -= np.linalg.solve(hessian, gradient)
+        step, part = np.linalg.solve(hessian, x.T @ (chance - good) + penalty * weights), 1.0
+        while part > 1e-9 and penalised_loss(x, good, weights - part * step, penalty) > loss:
+            part /= 2
+        if part <= 1e-9:
+            break
+        weights = weights - part * step
+        loss = penalised_loss(x, good, weights, penalty)
     return mean, scale, weights
 
 
