@@ -49,12 +49,17 @@ def loadings_table(spark: SparkSession, columns: Sequence[str], loadings: dict[s
     return spark.createDataFrame(rows, "feature string, component string, loading double")
 
 
-def add_projection(df: DataFrame, columns: Sequence[str], n_components: int = 2) -> DataFrame:
-    """PC1.. and pca_variance_explained for a scaled table; zeros when there is too little data."""
+def add_projection(
+    df: DataFrame, columns: Sequence[str], n_components: int = 2, fitted: tuple[dict[str, list[float]], list[float]] | None = None
+) -> DataFrame:
+    """PC1.. and pca_variance_explained for a scaled table; zeros when there is too little data.
+
+    ``fitted`` is what :func:`fit_pca` gave for the same table, so that it is not fitted again.
+    """
     names = [f"PC{i + 1}" for i in range(max(2, n_components))]
     if len(columns) < 2 or len(df.select(*columns).take(2)) < 2:
         return df.withColumns({**{n: F.lit(0.0) for n in names}, "pca_variance_explained": F.lit(0.0)})
-    loadings, ratios = fit_pca(df, columns, max(2, n_components))
+    loadings, ratios = fitted or fit_pca(df, columns, max(2, n_components))
     out = project(df, columns, loadings)
     missing = {n: F.lit(0.0) for n in names if n not in loadings}
     return out.withColumns({**missing, "pca_variance_explained": F.lit(explained_percent(ratios))})

@@ -195,6 +195,13 @@ def rules_overview(rules: DataFrame) -> DataFrame:
     )
 
 
+def top_rules(rules: DataFrame, n: int = 30) -> DataFrame:
+    """The ``n`` rules of greatest lift; equal ones by confidence, then by their sides."""
+    return rules.select("antecedents", "consequents", "support", "confidence", "lift").orderBy(
+        F.desc("lift"), F.desc("confidence"), "antecedents", "consequents"
+    ).limit(n)
+
+
 def scatter_feed(df: DataFrame) -> DataFrame:
     """Points of the projection plot with filled defaults."""
     found = df.columns

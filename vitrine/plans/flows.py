@@ -56,13 +56,14 @@ def train_segments(
     if rows < 2 or len(forest_columns) < 2:
         table = table.withColumns({"iforest_outlier": F.lit(0), "price_anomaly_score": F.lit(0.0)})
     else:
-        forest = isolation.fit_forest(df, order, forest_columns, contamination=contamination)
-        table = isolation.add_isolation(table, forest)
+        table, forest = isolation.detect_isolation(table, order, forest_columns, contamination=contamination)
     table = segment.downweight_anomalies(segment.add_top_flag(segment.fuse_anomalies(table)))
-    table = projection.add_projection(table, scaled_names, components) if rows >= 2 else segment.with_output_defaults(table)
+    table = stage(table, "segments")
+    fitted = projection.fit_pca(table, scaled_names, max(2, components)) if rows >= 2 and scaled_names else None
+    table = projection.add_projection(table, scaled_names, components, fitted) if rows >= 2 else segment.with_output_defaults(table)
     models = None
     if forest is not None and centres:
-        loadings, ratios = projection.fit_pca(table, scaled_names, max(2, components))
+        loadings, ratios = fitted
         models = Models(tuple(columns), scaler, centres, bounds, core, eps, forest, loadings, projection.explained_percent(ratios))
     return segment.with_output_defaults(table.drop(*scaled_names)), models
 

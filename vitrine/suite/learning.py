@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import np_round
 from ..operators import density, evaluation, isolation, projection, quality, segment, supervised
 from ..operators.features import LEAKAGE, select_model_features
+from ..plans import dashboard
 from ..sources.listings import table
+from ..stages import stage
 from . import data
 from .catalog import EXTRA, _sql
 from .oracle_base import with_ctes
@@ -185,6 +187,17 @@ QUERIES["pca_projection"] = lambda spark, sf: projection.add_projection(
 ).select("id", "PC1", "PC2", "PC3", "pca_variance_explained")
 
 
+def _all_features(spark, sf) -> DataFrame:
+    """The narrow projection table over all model features, the cluster's name beside it."""
+    published = data.published(spark, sf).drop("PC1", "PC2", "pca_variance_explained")
+    names = [c for c in select_model_features(data.features(spark, sf))]
+    projected = projection.add_projection(stage(segment.zscore(published, names), "scaled-features"), [f"z_{c}" for c in names])
+    return dashboard.projection_table(projected, wide=False)
+
+
+QUERIES["pca_all_features"] = _all_features
+
+
 def _loadings(spark, sf) -> DataFrame:
     names = [c for c in select_model_features(data.features(spark, sf))]
     scaled = segment.zscore(data.features(spark, sf), names)
@@ -198,7 +211,7 @@ QUERIES["pca_loadings"] = _loadings
 
 def _isolation(spark, sf) -> DataFrame:
     rows = data.silver(spark, sf)
-    return isolation.add_isolation(rows, isolation.fit_forest(rows, "id")).select("id", "iforest_outlier", "price_anomaly_score")
+    return isolation.detect_isolation(rows, "id")[0].select("id", "iforest_outlier", "price_anomaly_score")
 
 
 QUERIES["isolation_forest"] = _isolation

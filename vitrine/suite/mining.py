@@ -153,3 +153,11 @@ ORACLES["rules_overview"] = _sql(
     """SELECT count(*) AS n_rules, round_even(max(lift) * 1e4, 0) / 1e4 AS max_lift, round_even(avg(confidence) * 1e4, 0) / 1e4 AS avg_confidence
 FROM measured"""
 )
+
+QUERIES["top_rules_by_lift"] = lambda spark, sf: dashboard.top_rules(
+    _texts(_rules(spark, sf)).withColumns({c: np_round(F.col(c), 9) for c in ("support", "confidence", "lift")})
+)
+ORACLES["top_rules_by_lift"] = _sql(
+    f"""SELECT * FROM (SELECT antecedents, consequents, {_r('support', 9)}, {_r('confidence', 9)}, {_r('lift', 9)} FROM measured)
+ORDER BY lift DESC, confidence DESC, antecedents, consequents LIMIT 30"""
+)
