@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip, have, scalar_row, with_scalars
+from ..stages import stage
+from .lloyd import best_of_starts
 
 CLUSTER_FEATURES = ["log_price", "rating_score", "popularity_score", "discount_score"]
 PROFILE_FEATURES = ["log_price", "rating_score", "popularity_score", "stock_score", "discount_score"]
@@ -26,7 +24,6 @@ NAMES = {
 }
 BASE_RANK = {"Premium": 0.92, "Populaire": 0.82, "Budget": 0.62, "Inactif": 0.25}
 OTHER_RANK = 0.5
-_RUNS_IN_FLIGHT = 4
 TOP_NAMES = ["Premium", "Populaire"]
 UNNAMED = "Inconnu"
 
@@ -73,24 +70,13 @@ def cluster_count(rows: int, wanted: int | None = None, setting: int = 5) -> int
 
 
 def fit_kmeans(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42, n_init: int = 20) -> list[list[float]]:
-    """Centres of the best of ``n_init`` runs, in a canonical order.
+    """Centres of the best of ``n_init`` starts, in a canonical order.
 
-    Equal feature rows are merged into one weighted row first, which keeps the result and
-    shrinks every pass. The runs only differ by seed and share the persisted table; a few of
-    them are in flight at once so that the tail of one run's jobs does not leave cores idle.
+    Equal feature rows are merged into one weighted row first, which keeps the result and shrinks
+    every pass; all starts share the passes (:mod:`.lloyd`).
     """
-    merged = df.groupBy(*[number_or_zero(c).alias(c) for c in columns]).agg(F.count("*").cast("double").alias("weight"))
-    train = merged.select(array_to_vector(F.array(*[F.col(c) for c in columns])).alias("features"), "weight").persist()
-
-    def attempt(number: int) -> tuple[float, list[list[float]]]:
-        model = KMeans(k=k, seed=seed + number, weightCol="weight", maxIter=100, tol=1e-4).fit(train)
-        return model.summary.trainingCost, sorted([float(x) for x in centre] for centre in model.clusterCenters())
-
-    try:
-        with ThreadPool(min(n_init, _RUNS_IN_FLIGHT)) as pool:
-            return min(pool.map(inheritable_thread_target(df.sparkSession)(attempt), range(n_init)))[1]
-    finally:
-        train.unpersist()
+    merged = df.groupBy(*[(number_or_zero(c) + 0.0).alias(c) for c in columns]).agg(F.count("*").cast("double").alias("weight"))
+    return best_of_starts(stage(merged, "merged-rows"), columns, k, seed, n_init)
 
 
 def nearest_centre(df: DataFrame, columns: Sequence[str], centres: list[list[float]], name: str = "cluster") -> DataFrame:
