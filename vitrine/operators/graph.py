@@ -21,15 +21,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
     Each round hangs neighbours on smaller nodes (large star, then small star), so long chains
     shorten geometrically. Minima are combined on the map side before they travel, and every
-    round is a stage table, so the plan does not grow and lost executors cost one round.
+    round is a stage table, so the plan does not grow and lost executors cost one round. Minima are
+    written before they are joined to the links they come from: in one stage with its aggregate a
+    join cannot be split where one node has very many links.
     """
     links = stage(edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while True:
         around = _both_ways(links)
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Only nodes with a larger neighbour are asked for their minimum.
+        above = F.max("v") > F.col("u")
+        least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), above.alias("above")).filter("above").drop("above")
+        least = stage(least, "large-minima")
         large = around.filter(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stage(large.filter("u != v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "small-minima")
         joined = large.join(least, "u")
         small = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = stage(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
