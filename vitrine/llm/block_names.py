@@ -126,12 +126,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = stage(block_identities(docs, id_col, text_col, **options), "identities")
     best = F.struct((-F.col("n_points")).alias("p"), F.col("id").isNull().alias("u"), F.col("id").alias("id"), F.col("row").alias("row"))
     groups = rows.groupBy("level", "name").agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
-    joined = rows.join(groups, ["level", "name"])
+    # Written first, without the groups of one: a table of known size, whose join AQE can split at a hot group.
+    copies = stage(groups.filter("group_size > 1").withColumn("repeated", F.lit(True)), "copy-groups")
+    joined = rows.join(copies, ["level", "name"], "left")
+    repeated = F.coalesce("repeated", F.lit(False))
     return joined.select(
         F.col("id").alias(id_col),
-        F.col("best.id").alias("keep_id"),
-        "group_size",
-        (F.col("best.row") == F.col("row")).alias("kept"),
+        F.when(repeated, F.col("best.id")).otherwise(F.col("id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (~repeated | (F.col("best.row") == F.col("row"))).alias("kept"),
         "text_sha256",
         "n_points",
     )
