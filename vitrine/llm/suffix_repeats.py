@@ -29,10 +29,11 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..stages import stage, stage_path
@@ -42,6 +43,8 @@ from .common import text_or_empty
 MIN_BYTES = 200
 BUCKET = 4096
 _STEP = 1 << 20  # window starts looked at together
+_PIECE = 1 << 12  # anchors that a Python worker unpacks together
+_BATCH_ROWS = 500  # whole texts that travel to a Python worker together
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLE = np.random.default_rng(20240229).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -120,12 +123,6 @@ def _pack(place: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return place << 24 | (place - low) << 12 | (high - low)
 
 
-def _unpack(at: int) -> tuple[int, int, int]:
-    place = at >> 24
-    low = place - (at >> 12 & 4095)
-    return place, low, low + (at & 4095)
-
-
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a binary column one after another, and the offsets of its rows."""
     column = column.cast(pa.large_binary())
@@ -149,25 +146,65 @@ def _anchors(texts: DataFrame, min_bytes: int) -> DataFrame:
     return texts.mapInArrow(run, "gram long, k1 long, k2 long, at long")
 
 
-def _mark(context: bytes, left: int) -> tuple[int, int]:
-    digest = hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(8, "big")).digest()
-    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, few whole texts are in one Arrow batch; the session's setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, _BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    with _small_batches(df.sparkSession):
+        return stage(df, name)
+
+
+def anchors_of(batch: pa.RecordBatch, most: int = _PIECE) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray]]]:
+    """(rows, fields) of the anchors in the lists ``found``, at most ``most`` at a time, however many a text has."""
+    found = batch.column("found")
+    fields = found.flatten()
+    row = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy())
+    names = [f.name for f in fields.type]
+    for low in range(0, len(fields), most):
+        some = fields.slice(low, most)
+        yield row[low : low + most], {c: a.to_numpy(zero_copy_only=False) for c, a in zip(names, some.flatten(), strict=True)}
+
+
+def _spots(rows: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor, first and last window as places in the bytes of the batch."""
+    base = offsets[rows]
+    place = at >> 24
+    low = place - (at >> 12 & 4095)
+    return base + place, base + low, base + low + (at & 4095)
+
+
+def _mark(context: bytes | memoryview, left: int) -> bytes:
+    return hashlib.blake2b(context, digest_size=16, salt=left.to_bytes(8, "big")).digest()
+
+
+def _halves(digests: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit digests as two columns of numbers."""
+    pairs = np.frombuffer(b"".join(digests), dtype=">i8").reshape(-1, 2).astype(np.int64)
+    return np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
 
 
 def _marked(texts: DataFrame, min_bytes: int) -> DataFrame:
     """(gram, m1, m2, k1, k2, at, times): every candidate anchor with the digest of its context."""
+    names = ["gram", "m1", "m2", "k1", "k2", "at", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for k1, k2, text, found, times in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text", "found", "times")], strict=True):
-                for f in found:
-                    place, low, high = _unpack(f["at"])
-                    m1, m2 = _mark(text[low : high + min_bytes], place - low)
-                    out.append((f["gram"], m1, m2, k1, k2, f["at"], times))
-            if out:
-                table = np.array(out, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T.copy()], names=["gram", "m1", "m2", "k1", "k2", "at", "times"])
+            data, offsets = _bytes_of(batch.column("text"))
+            view = memoryview(data)
+            k1, k2, times = [batch.column(c).to_numpy() for c in ("k1", "k2", "times")]
+            for rows, f in anchors_of(batch):
+                spots = zip(*[x.tolist() for x in _spots(rows, f["at"], offsets)], strict=True)
+                m1, m2 = _halves([_mark(view[low : high + min_bytes], place - low) for place, low, high in spots])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (f["gram"], m1, m2, k1[rows], k2[rows], f["at"], times[rows])], names=names)
 
     return texts.mapInArrow(run, "gram long, m1 long, m2 long, k1 long, k2 long, at long, times long")
 
@@ -178,34 +215,34 @@ def _contexts(texts: DataFrame, min_bytes: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
-                for f in found:
-                    place, low, high = _unpack(f["at"])
-                    for column, value in zip(columns, (f["gram"], f["m1"], f["m2"], f["n"], place - low, text[low : high + min_bytes]), strict=True):
-                        column.append(value)
-            kinds = [pa.int64()] * 5 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            data, offsets = _bytes_of(batch.column("text"))
+            for rows, f in anchors_of(batch):
+                place, low, high = _spots(rows, f["at"], offsets)
+                context = [data[a : b + min_bytes].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                numbers = [pa.array(c) for c in (f["gram"], f["m1"], f["m2"], f["n"], place - low)]
+                yield pa.RecordBatch.from_arrays([*numbers, pa.array(context, pa.binary())], names=names)
 
     return texts.mapInArrow(run, "gram long, m1 long, m2 long, n long, left long, context binary")
 
 
 def _windows(texts: DataFrame, min_bytes: int) -> DataFrame:
     """(w1, w2, m1, m2, n, back): every window of the contexts, for grams with many contexts."""
+    names = ["w1", "w2", "m1", "m2", "n", "back"]
+    together = max(1, _PIECE * 8 // min_bytes)  # an anchor has fewer than min_bytes windows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for batch in batches:
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("found").to_pylist(), strict=True):
-                out = []
-                for f in found:
-                    place, low, high = _unpack(f["at"])
-                    for start in range(low, high + 1):
-                        digest = xxhash.xxh3_128_digest(text[start : start + min_bytes])
-                        out.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), f["m1"], f["m2"], f["n"], place - start))
-                table = np.array(out, dtype=np.int64).reshape(-1, 6)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in table.T.copy()], names=["w1", "w2", "m1", "m2", "n", "back"])
+            data, offsets = _bytes_of(batch.column("text"))
+            view = memoryview(data)
+            for rows, f in anchors_of(batch, together):
+                place, low, high = _spots(rows, f["at"], offsets)
+                count = high - low + 1
+                start = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+                w1, w2 = _halves([xxhash.xxh3_128_digest(view[s : s + min_bytes]) for s in start.tolist()])
+                repeated = [np.repeat(c, count) for c in (f["m1"], f["m2"], f["n"])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (w1, w2, *repeated, np.repeat(place, count) - start)], names=names)
 
     return texts.mapInArrow(run, "w1 long, w2 long, m1 long, m2 long, n long, back long")
 
@@ -364,7 +401,7 @@ class RepeatIndex:
         self.rows = docs.select(F.col(id_col).alias("id"), *keys, text.cast("binary").alias("text"))
         texts = self.rows.drop("id")
 
-        anchors = stage(_anchors(texts, min_bytes), "anchors")
+        anchors = _stage(_anchors(texts, min_bytes), "anchors")
         repeated = anchors.groupBy("gram").count().filter("count > 1").select("gram")
         candidates = anchors.join(repeated, "gram", "left_semi")
         # Rows with the same id and text become one text that counts as often as there are rows.
@@ -372,11 +409,11 @@ class RepeatIndex:
         times = self.rows.groupBy("k1", "k2").agg(F.count("*").alias("times"))
         candidates = candidates.groupBy("k1", "k2").agg(found.alias("found")).join(times, ["k1", "k2"])
         self.texts = self._bucketed(texts, candidates)
-        self.marked = stage(_marked(self.texts, min_bytes), "marked")
+        self.marked = _stage(_marked(self.texts, min_bytes), "marked")
 
         place = F.struct("k1", "k2", "at")
-        contexts = stage(self.marked.groupBy("gram", "m1", "m2").agg(F.sum("times").alias("n"), F.min(place).alias("first")), "contexts")
-        hot = stage(contexts.groupBy("gram").count().filter(F.col("count") > bucket).select("gram"), "hot-grams")
+        contexts = _stage(self.marked.groupBy("gram", "m1", "m2").agg(F.sum("times").alias("n"), F.min(place).alias("first")), "contexts")
+        hot = _stage(contexts.groupBy("gram").count().filter(F.col("count") > bucket).select("gram"), "hot-grams")
         self.has_hot = not hot.isEmpty()
         self.cold = self._with_text(contexts.join(hot, "gram", "left_anti") if self.has_hot else contexts)
         self.hot = self._with_text(contexts.join(hot, "gram", "left_semi"))
@@ -401,11 +438,11 @@ class RepeatIndex:
         """(m1, m2, back, ahead): the repeated bytes around the anchor of each different context."""
         found = _reach(_contexts(self.cold, self.min_bytes), self.min_bytes)
         if self.has_hot:
-            windows = stage(_windows(self.hot, self.min_bytes), "windows")
+            windows = _stage(_windows(self.hot, self.min_bytes), "windows")
             repeated = windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).filter("times > 1").select("w1", "w2")
             covered = windows.join(repeated, ["w1", "w2"], "left_semi").groupBy("m1", "m2")
             found = found.unionByName(covered.agg(F.max("back").alias("back"), (self.min_bytes - F.min("back")).alias("ahead")))
-        return stage(found, "reach")
+        return _stage(found, "reach")
 
     def spans(self) -> DataFrame:
         """(k1, k2, spans): disjoint sorted [start, stop) runs of repeated bytes, for texts that have some."""
@@ -433,7 +470,7 @@ def _cut(texts: DataFrame) -> DataFrame:
     """(k1, k2, kept, n_removed, n_spans) with the repeated bytes taken out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(low, _BATCH_ROWS) for b in batches for low in range(0, b.num_rows, _BATCH_ROWS)):
             kept, removed, count = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 parts, at, runs, gone = [], 0, 0, 0
@@ -460,14 +497,14 @@ def _cut(texts: DataFrame) -> DataFrame:
 def cut_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> tuple[RepeatIndex, DataFrame]:
     """The index, and (k1, k2, kept, n_removed, n_spans) for every text that loses bytes."""
     index = RepeatIndex(docs, min_bytes, id_col, text_col, bucket)
-    spans = stage(index.spans(), "spans")
+    spans = _stage(index.spans(), "spans")
     return index, _cut(index.texts.select("k1", "k2", "text").join(spans, ["k1", "k2"]).select("k1", "k2", "text", "spans"))
 
 
 def digest(docs: DataFrame, min_bytes: int = MIN_BYTES, id_col: str = "doc_id", text_col: str = "text", bucket: int = BUCKET) -> DataFrame:
     """One row per input row: id_col, n_bytes, n_removed, n_spans, kept_sha256."""
     index, cut = cut_repeats(docs, min_bytes, id_col, text_col, bucket)
-    cut = stage(cut.select("k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")), "cut")
+    cut = _stage(cut.select("k1", "k2", "n_removed", "n_spans", F.sha2("kept", 256).alias("cut_sha256")), "cut")
     rows = index.rows.select("id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole_sha256"))
     zero = F.lit(0).cast("long")
     return rows.join(cut, ["k1", "k2"], "left").select(
