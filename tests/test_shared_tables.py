@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from vitrine import stages
-from vitrine.operators import clean, segment
+from vitrine.operators import clean, features, segment
 
 
 def _listings(spark, rows):
@@ -36,3 +36,16 @@ def test_moments_are_taken_once(spark):
     scaled = segment.zscore(_listings(spark, 30), ["price"])
     assert "stddev" not in scaled._jdf.queryExecution().optimizedPlan().toString().lower()
     assert abs(scaled.agg(F.avg("z_price")).first()[0]) < 1e-9
+
+
+def test_unread_statistics_are_not_joined(spark):
+    kept = clean.clean_standard(_listings(spark, 40), ["ingest_seq", "scraped_at"])
+    done = features.add_features(kept)
+
+    def joins(table):
+        return table._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter")
+
+    assert joins(done.select("id", "rating_score", "log_price", "discount_score")) == 0
+    assert joins(done.agg(F.avg("popularity_score"))) == 0
+    every = done.select("id", *features.FEATURES).collect()
+    assert joins(done.select("id", *features.FEATURES)) == 3 and sorted(r["id"] for r in every) == ["p1", "p2", "p3", "p4", "p6"]
