@@ -91,7 +91,7 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, name: str | None
     Offsets and the sink's commit log in the checkpoint make every batch all or nothing, and a
     restart goes on after the last committed batch.
     """
-    writer = rows.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.format("parquet").outputMode("append").option("compression", "zstd").option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     return writer.trigger(availableNow=True).start()
